@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwatch.functions import UNKNOWN_TOPIC, event_time, revert_flag, view_date
+from quillwatch.operators.sequences import first_of_each
 
 
 def clean_revisions(raw: DataFrame) -> DataFrame:
@@ -52,23 +53,9 @@ def clean_entities(raw: DataFrame, topics: DataFrame) -> DataFrame:
     return assign_topic(kept, topics)
 
 
-def cap_revisions(revisions: DataFrame, per_article: int = 5000, salts: int = 32) -> DataFrame:
-    """The oldest ``per_article`` revisions of every article. Ranking runs first inside
-    salted shares of an article, so a giant article never sorts in one task: only the
-    survivors of each share meet for the final ranking."""
-    from pyspark.sql import Window
-
-    order = [F.asc_nulls_first("edit_timestamp"), F.asc("revid")]
-    share = Window.partitionBy("article_title", "_salt").orderBy(*order)
-    whole = Window.partitionBy("article_title").orderBy(*order)
-    return (
-        revisions.withColumn("_salt", F.pmod(F.hash("revid"), F.lit(salts)))
-        .withColumn("_rank", F.row_number().over(share))
-        .filter(F.col("_rank") <= per_article)
-        .withColumn("_rank", F.row_number().over(whole))
-        .filter(F.col("_rank") <= per_article)
-        .drop("_salt", "_rank")
-    )
+def cap_revisions(revisions: DataFrame, per_article: int = 5000, **split) -> DataFrame:
+    """The oldest ``per_article`` revisions of every article."""
+    return first_of_each(revisions, per_article, **split)
 
 
 def new_keys(incoming: DataFrame, stored: DataFrame, key: str = "article_title") -> DataFrame:

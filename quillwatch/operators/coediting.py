@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY_SECONDS = 86_400
 TOP_EDITORS = 200
+# Longest list of names that is broadcast.
+BROADCAST_NAMES = 100_000
 
 _FANOUT = 64
 
 
+def _whole(x: Column) -> Column:
+    """Whole part of a number that is never null."""
+    return F.coalesce(F.floor(x), F.lit(0).cast("bigint"))
+
+
 def named_edits(revisions: DataFrame) -> DataFrame:
     """Edits by people who were logged in and do not look like bots."""
     return revisions.filter((F.col("userid") > 0) & ~F.col("user").rlike("(?i)bot")).select(
@@ -28,8 +35,9 @@ def top_editors(edits: DataFrame, k: int = TOP_EDITORS) -> DataFrame:
 
 
 def of_top_editors(edits: DataFrame, k: int = TOP_EDITORS) -> DataFrame:
-    """Edits by the top ``k``. The list has at most ``k`` rows, which bounds the broadcast."""
-    return edits.join(F.broadcast(top_editors(edits, k).select("user")), "user", "left_semi")
+    """Edits by the top ``k``. The list has at most ``k`` names; a short one is broadcast."""
+    names = top_editors(edits, k).select("user")
+    return edits.join(F.broadcast(names) if k <= BROADCAST_NAMES else names, "user", "left_semi")
 
 
 def coedit_pairs(edits: DataFrame, within_seconds: int = DAY_SECONDS) -> DataFrame:
@@ -48,42 +56,49 @@ def coedit_pairs(edits: DataFrame, within_seconds: int = DAY_SECONDS) -> DataFra
     timed = edits.filter(F.col("edit_timestamp").isNotNull()).select(
         "article_title",
         "user",
-        F.floor(second / within_seconds).alias("window"),
+        _whole(second / within_seconds).alias("window"),
         F.pmod(second, F.lit(within_seconds)).alias("offset"),
     )
 
     units = [1]
     while units[-1] * _FANOUT < within_seconds:
         units.append(units[-1] * _FANOUT)
-    same_window = F.struct(F.lit(0).alias("unit"), F.lit(0).cast("bigint").alias("prefix"), F.lit(0).cast("bigint").alias("digit"))
-    by_digit = [
+    zero = F.lit(0).cast("bigint")
+    same_window = F.struct(
+        F.lit(0).alias("unit"), F.col("window").alias("meets"), zero.alias("prefix"), zero.alias("digit")
+    )
+    next_window = [
         F.struct(
             F.lit(unit).alias("unit"),
-            F.floor(F.col("offset") / (unit * _FANOUT)).alias("prefix"),
-            F.floor(F.col("offset") / unit).alias("digit"),
+            (F.col("window") - 1).alias("meets"),
+            _whole(F.col("offset") / (unit * _FANOUT)).alias("prefix"),
+            _whole(F.col("offset") / unit).alias("digit"),
         )
         for unit in units
     ]
-    group = ["article_title", "window", "unit", "prefix"]
+    group = ["article_title", "window", "meets", "unit", "prefix"]
     histograms = (
-        timed.select("article_title", "user", "window", F.explode(F.array(same_window, *by_digit)).alias("at"))
+        timed.select("article_title", "user", "window", F.explode(F.array(same_window, *next_window)).alias("at"))
         .select("article_title", "user", "window", "at.*")
         .groupBy(*group, "user", "digit")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*group, "user")
         .agg(F.collect_list(F.struct("digit", "n")).alias("counts"))
     )
-    # Below the last digit offsets are equal, which still counts; above it they must differ.
-    strictly = F.when(F.col("unit") > 1, 1).otherwise(0)
-    earlier = histograms.select(*group, F.col("user").alias("u"), F.col("counts").alias("from_u"))
+    # Both sides are the same table under other names, computed once.
+    earlier = histograms.select(
+        "article_title", "window", "unit", "prefix", F.col("user").alias("u"), F.col("counts").alias("from_u")
+    )
     later = histograms.select(
         "article_title",
-        (F.col("window") - F.when(F.col("unit") > 0, 1).otherwise(0)).alias("window"),
+        F.col("meets").alias("window"),
         "unit",
         "prefix",
         F.col("user").alias("v"),
-        F.transform("counts", lambda c: F.struct((c["digit"] + strictly).alias("digit"), c["n"].alias("n"))).alias("from_v"),
+        F.col("counts").alias("from_v"),
     )
+    # Below the last digit offsets are equal, which still counts; above it they must differ.
+    strictly = F.when(F.col("unit") > 1, 1).otherwise(0)
 
     def total(counts, of):
         return F.aggregate(counts, F.lit(0).cast("bigint"), lambda sofar, c: sofar + of(c))
@@ -91,11 +106,11 @@ def coedit_pairs(edits: DataFrame, within_seconds: int = DAY_SECONDS) -> DataFra
     close = total(
         F.col("from_u"),
         lambda x: x["n"]
-        * total(F.filter(F.col("from_v"), lambda y: y["digit"] <= x["digit"]), lambda y: y["n"]),
+        * total(F.filter(F.col("from_v"), lambda y: y["digit"] + strictly <= x["digit"]), lambda y: y["n"]),
     )
     different = F.when(F.col("unit") == 0, F.col("u") < F.col("v")).otherwise(F.col("u") != F.col("v"))
     return (
-        earlier.join(later, group)
+        earlier.join(later, ["article_title", "window", "unit", "prefix"])
         .filter(different)
         .select(
             F.least("u", "v").alias("editor_a"),

@@ -47,8 +47,8 @@ def triangles(edges: DataFrame) -> DataFrame:
     """Every triangle once, as corners (x, y, z).
 
     Edges point from the end with fewer neighbours to the end with more, so even a hub has at
-    most sqrt(2 |E|) outgoing edges to combine, and each combination is looked up among the
-    edges rather than in neighbour lists.
+    most sqrt(2 |E|) outgoing edges. A triangle is an edge whose two ends point to a common
+    third: short lists of outgoing neighbours are intersected, and only triangles come out.
     """
     degree = editor_degree(symmetric_adjacency(edges))
     rank = lambda side: degree.select(
@@ -56,16 +56,14 @@ def triangles(edges: DataFrame) -> DataFrame:
     )
     ranked = edges.select("editor_a", "editor_b").join(rank("a"), "editor_a").join(rank("b"), "editor_b")
     arcs = ranked.select(
-        F.least("rank_a", "rank_b").alias("low"), F.greatest("rank_a", "rank_b").alias("high")
+        F.least("rank_a", "rank_b")["editor"].alias("x"), F.greatest("rank_a", "rank_b")["editor"].alias("y")
     )
-    first = arcs.select(F.col("low").alias("x"), F.col("high").alias("y"))
-    second = arcs.select(F.col("low").alias("x"), F.col("high").alias("z"))
-    closing = arcs.select(F.col("low").alias("y"), F.col("high").alias("z"))
+    outgoing = arcs.groupBy("x").agg(F.collect_list("y").alias("from_x"))
+    of_y = outgoing.select(F.col("x").alias("y"), F.col("from_x").alias("from_y"))
     return (
-        first.join(second, "x")
-        .filter(F.col("y") < F.col("z"))
-        .join(closing, ["y", "z"])
-        .select(F.col("x.editor").alias("x"), F.col("y.editor").alias("y"), F.col("z.editor").alias("z"))
+        arcs.join(outgoing, "x")
+        .join(of_y, "y")
+        .select("x", "y", F.explode(F.array_intersect("from_x", "from_y")).alias("z"))
     )
 
 

@@ -35,9 +35,12 @@ def at_least(counts: DataFrame, prefix: str, minimum: int) -> DataFrame:
     )
 
 
-def min_files(manifest: DataFrame, minimum: int = MIN_FILES) -> DataFrame:
-    """Each dataset of a manifest (dataset, path, length) must have enough files."""
-    counts = manifest.groupBy(F.col("dataset").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+def min_files(manifest: DataFrame, datasets: list[str], minimum: int = MIN_FILES) -> DataFrame:
+    """Each named dataset of a manifest (dataset, path, length) must have enough files; one
+    without any file fails."""
+    found = manifest.groupBy(F.col("dataset").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    wanted = manifest.sparkSession.createDataFrame([(d,) for d in datasets], "name STRING")
+    counts = wanted.join(found, "name", "left").fillna({"rows": 0})
     return at_least(counts, "min_files", minimum)
 
 

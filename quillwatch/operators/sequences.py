@@ -6,59 +6,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# An article with more edits than this is ordered in time slices instead of as a whole.
+# A group with more rows than this is ordered in slices instead of as a whole.
 BUSY_ROWS = 2_000_000
-# Bound on the broadcast list of such articles. It steers only how work is split: an
-# article that does not make the list is ordered as a whole, with the same result.
-BUSY_KEYS = 10_000
+# Bound on the broadcast list of such groups. It steers only how work is split: a group that
+# does not make the list is ordered as a whole, with the same result.
+BUSY_GROUPS = 10_000
 SLICE_SECONDS = 60
 
 _BEFORE_ALL = -(2**62)
 
 
-def busy_keys(rows: DataFrame, key: str, busy_rows: int = BUSY_ROWS) -> DataFrame:
-    """The largest keys above ``busy_rows``, at most ``BUSY_KEYS`` of them."""
+def busy_groups(rows: DataFrame, by: list[str], busy_rows: int = BUSY_ROWS) -> DataFrame:
+    """The largest groups above ``busy_rows``, at most ``BUSY_GROUPS`` of them."""
     return (
-        rows.groupBy(key)
+        rows.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > busy_rows)
-        .orderBy(F.desc("_n"), F.asc(key))
-        .limit(BUSY_KEYS)
-        .select(key, F.lit(True).alias("_busy"))
+        .orderBy(F.desc("_n"), *by)
+        .limit(BUSY_GROUPS)
+        .select(*by)
     )
 
 
-def with_previous(
+def sliced(
     rows: DataFrame,
-    values: dict[str, str],
     key: str = "article_title",
     time: str = "edit_timestamp",
     tie: str = "revid",
     busy_rows: int = BUSY_ROWS,
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Add, for each ``{new: source}``, the source value of the preceding row of the same key
-    in (time, tie) order.
+    """Add ``_busy`` and ``_slice``, which cuts the (time, tie) order of a busy key into
+    consecutive pieces. Other keys are one piece.
 
-    Ordinary keys are one group each. A busy key is split into time slices; the last row of
-    each slice is carried into the next one. Slices per key are bounded by the calendar, not
-    by the number of edits, so chaining them is small work even for a giant key.
+    A busy key is cut into time slices, and a slice that is itself busy, such as a bulk import
+    stamped with one moment, by moment and run of ids. The pieces of a key are bounded by the
+    calendar and by its ids over ``busy_rows``, not by its number of edits.
     """
-    busy = F.broadcast(busy_keys(rows, key, busy_rows))
-    time_slice = F.coalesce(
-        F.floor(F.unix_timestamp(F.col(time).cast("timestamp")) / slice_seconds), F.lit(_BEFORE_ALL)
+    moment = F.col(time).cast("timestamp")
+    minute = F.coalesce(F.floor(F.unix_timestamp(moment) / slice_seconds), F.lit(_BEFORE_ALL))
+    keys = busy_groups(rows, [key], busy_rows).withColumn("_busy", F.lit(True))
+    timed = rows.join(F.broadcast(keys), key, "left").withColumn(
+        "_minute", F.when(F.col("_busy"), minute).otherwise(F.lit(0))
+    )
+    crowded = busy_groups(timed.filter("_busy"), [key, "_minute"], busy_rows).withColumn("_crowded", F.lit(True))
+    piece = F.struct(
+        "_minute",
+        F.when(F.col("_crowded"), F.coalesce(F.unix_micros(moment), F.lit(_BEFORE_ALL))).otherwise(F.lit(0)).alias("_moment"),
+        F.when(F.col("_crowded"), F.floor(F.col(tie) / busy_rows)).otherwise(F.lit(0)).alias("_ids"),
+    )
+    return timed.join(F.broadcast(crowded), [key, "_minute"], "left").select(
+        *rows.columns, F.coalesce("_busy", F.lit(False)).alias("_busy"), piece.alias("_slice")
     )
-    packed = F.struct(*[F.col(source).alias(new) for new, source in values.items()])
 
+
+def with_previous(
+    rows: DataFrame,
+    values: dict[str, str],
+    key: str = "article_title",
+    time: str = "edit_timestamp",
+    tie: str = "revid",
+    **split,
+) -> DataFrame:
+    """Add, for each ``{new: source}``, the source value of the preceding row of the same key
+    in (time, tie) order. The last row of each slice is carried into the next slice, so no
+    task orders more than one slice of a busy key."""
+    pieces = sliced(rows, key, time, tie, **split)
+    packed = F.struct(*[F.col(source).alias(new) for new, source in values.items()])
     in_slice = Window.partitionBy(key, "_slice").orderBy(F.asc_nulls_first(time), F.asc(tie))
-    stepped = (
-        rows.join(busy, key, "left")
-        .withColumn("_slice", F.when(F.col("_busy"), time_slice).otherwise(F.lit(0)))
-        .withColumn("_previous", F.lag(packed).over(in_slice))
-    )
+    stepped = pieces.withColumn("_previous", F.lag(packed).over(in_slice))
     carried = (
-        rows.join(busy, key, "left_semi")
-        .withColumn("_slice", time_slice)
+        pieces.filter("_busy")
         .groupBy(key, "_slice")
         .agg(F.max_by(packed, F.struct(time, tie)).alias("_last"))
         .select(
@@ -73,6 +91,38 @@ def with_previous(
     )
 
 
+def first_of_each(
+    rows: DataFrame,
+    n: int,
+    key: str = "article_title",
+    time: str = "edit_timestamp",
+    tie: str = "revid",
+    **split,
+) -> DataFrame:
+    """The first ``n`` rows of every key in (time, tie) order. Of a busy key, only the slices
+    that start before its n-th row are ordered at all."""
+    pieces = sliced(rows, key, time, tie, **split)
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per busy key, hence at most BUSY_GROUPS.
+    cutoff = (
+        pieces.filter("_busy")
+        .groupBy(key, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_below", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .filter(F.col("_below") < n)
+        .groupBy(key)
+        .agg(F.max("_slice").alias("_cutoff"))
+    )
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.asc_nulls_first(time), F.asc(tie)))
+    return (
+        pieces.join(F.broadcast(cutoff), key, "left")
+        .filter(F.col("_cutoff").isNull() | (F.col("_slice") <= F.col("_cutoff")))
+        .withColumn("_rank", rank)
+        .filter(F.col("_rank") <= n)
+        .select(*rows.columns)
+    )
+
+
 def length_change(revisions: DataFrame, **split) -> DataFrame:
     """Bytes each edit adds or removes. The first edit of an article counts its whole size,
     and so does an edit whose predecessor has no known size."""

@@ -589,7 +589,8 @@ def _(spark, folder):
 
 @query("dq_min_files")
 def _(spark, folder):
-    return quality.min_files(raw.file_manifest(spark, {"revisions": _raw_by_title(spark, folder)}))
+    manifest = raw.file_manifest(spark, {"revisions": _raw_by_title(spark, folder)})
+    return quality.min_files(manifest, ["revisions"])
 
 
 @query("dq_required_field")
