@@ -29,7 +29,7 @@ def write_raw_by_title(records: DataFrame, path: str) -> None:
 def publish_documents(
     spark: SparkSession,
     collections: dict[str, DataFrame | None],
-    path: str,
+    folder: str,
     format: str = "text",
     **options,
 ) -> DataFrame:
@@ -44,7 +44,7 @@ def publish_documents(
         if table is None:
             continue
         if format == "text":
-            target = f"{path}/{name}"
+            target = f"{folder}/{name}"
             table.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(target)
             written[name] = spark.read.text(target)
         else:

@@ -1,0 +1,24 @@
+from quillwatch.operators import quality
+
+
+def rows(df):
+    return {r.check: (r.observed, r.expected, r.passed) for r in df.collect()}
+
+
+def test_min_files(spark):
+    manifest = spark.createDataFrame([("a", str(i)) for i in range(10)] + [("b", "x")], "dataset STRING, path STRING")
+    assert rows(quality.min_files(manifest, ["a", "b", "absent"])) == {
+        "min_files:a": (10, 10, True), "min_files:b": (1, 10, False), "min_files:absent": (0, 10, False),
+    }
+
+
+def test_required_field_looks_at_every_record(spark):
+    raw = spark.createDataFrame([(i if i != 777 else None,) for i in range(1000)], "revid BIGINT")
+    assert rows(quality.required_field(raw, "revid")) == {"required_field:revid": (1, 0, False)}
+
+
+def test_summary_reports_failures(spark):
+    tables = {"full": spark.range(4), "empty": spark.range(0)}
+    assert {r.name: r["rows"] for r in quality.with_total(quality.table_counts(tables)).collect()} == {"full": 4, "empty": 0, "total": 4}
+    got = {r.check: (r.outcome, r.passed_checks, r.total_checks) for r in quality.summary(quality.outputs_present(tables)).collect()}
+    assert got == {"output:full": ("PASSED", 1, 2), "output:empty": ("NEEDS ATTENTION", 1, 2)}
