@@ -14,6 +14,7 @@ BUSY_GROUPS = 10_000
 SLICE_SECONDS = 60
 
 _BEFORE_ALL = -(2**62)
+_SLICE = ["_minute", "_moment", "_ids"]
 
 
 def busy_groups(rows: DataFrame, by: list[str], busy_rows: int = BUSY_ROWS) -> DataFrame:
@@ -36,8 +37,8 @@ def sliced(
     busy_rows: int = BUSY_ROWS,
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Add ``_busy`` and ``_slice``, which cuts the (time, tie) order of a busy key into
-    consecutive pieces. Other keys are one piece.
+    """Add ``_busy`` and the columns ``_SLICE``, which cut the (time, tie) order of a busy key
+    into consecutive pieces. Other keys are one piece.
 
     A busy key is cut into time slices, and a slice that is itself busy, such as a bulk import
     stamped with one moment, by moment and run of ids. The pieces of a key are bounded by the
@@ -50,13 +51,13 @@ def sliced(
         "_minute", F.when(F.col("_busy"), minute).otherwise(F.lit(0))
     )
     crowded = busy_groups(timed.filter("_busy"), [key, "_minute"], busy_rows).withColumn("_crowded", F.lit(True))
-    piece = F.struct(
-        "_minute",
-        F.when(F.col("_crowded"), F.coalesce(F.unix_micros(moment), F.lit(_BEFORE_ALL))).otherwise(F.lit(0)).alias("_moment"),
-        F.when(F.col("_crowded"), F.floor(F.col(tie) / busy_rows)).otherwise(F.lit(0)).alias("_ids"),
-    )
+    finer = lambda value: F.when(F.col("_crowded"), value).otherwise(F.lit(0))
     return timed.join(F.broadcast(crowded), [key, "_minute"], "left").select(
-        *rows.columns, F.coalesce("_busy", F.lit(False)).alias("_busy"), piece.alias("_slice")
+        *rows.columns,
+        F.coalesce("_busy", F.lit(False)).alias("_busy"),
+        "_minute",
+        finer(F.coalesce(F.unix_micros(moment), F.lit(_BEFORE_ALL))).alias("_moment"),
+        finer(F.floor(F.col(tie) / busy_rows)).alias("_ids"),
     )
 
 
@@ -73,20 +74,20 @@ def with_previous(
     task orders more than one slice of a busy key."""
     pieces = sliced(rows, key, time, tie, **split)
     packed = F.struct(*[F.col(source).alias(new) for new, source in values.items()])
-    in_slice = Window.partitionBy(key, "_slice").orderBy(F.asc_nulls_first(time), F.asc(tie))
+    in_slice = Window.partitionBy(key, *_SLICE).orderBy(F.asc_nulls_first(time), F.asc(tie))
     stepped = pieces.withColumn("_previous", F.lag(packed).over(in_slice))
     carried = (
         pieces.filter("_busy")
-        .groupBy(key, "_slice")
+        .groupBy(key, *_SLICE)
         .agg(F.max_by(packed, F.struct(time, tie)).alias("_last"))
         .select(
             key,
-            "_slice",
-            F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")).alias("_carried"),
+            *_SLICE,
+            F.lag("_last").over(Window.partitionBy(key).orderBy(*_SLICE)).alias("_carried"),
         )
     )
     previous = F.coalesce("_previous", "_carried")
-    return stepped.join(carried, [key, "_slice"], "left").select(
+    return stepped.join(carried, [key, *_SLICE], "left").select(
         *rows.columns, *[previous[new].alias(new) for new in values]
     )
 
@@ -102,21 +103,21 @@ def first_of_each(
     """The first ``n`` rows of every key in (time, tie) order. Of a busy key, only the slices
     that start before its n-th row are ordered at all."""
     pieces = sliced(rows, key, time, tie, **split)
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(*_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     # One row per busy key, hence at most BUSY_GROUPS.
     cutoff = (
         pieces.filter("_busy")
-        .groupBy(key, "_slice")
+        .groupBy(key, *_SLICE)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_below", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .filter(F.col("_below") < n)
         .groupBy(key)
-        .agg(F.max("_slice").alias("_cutoff"))
+        .agg(F.max(F.struct(*_SLICE)).alias("_cutoff"))
     )
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.asc_nulls_first(time), F.asc(tie)))
     return (
         pieces.join(F.broadcast(cutoff), key, "left")
-        .filter(F.col("_cutoff").isNull() | (F.col("_slice") <= F.col("_cutoff")))
+        .filter(F.col("_cutoff").isNull() | (F.struct(*_SLICE) <= F.col("_cutoff")))
         .withColumn("_rank", rank)
         .filter(F.col("_rank") <= n)
         .select(*rows.columns)

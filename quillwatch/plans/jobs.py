@@ -49,6 +49,19 @@ def build_features(spark: SparkSession, feeds: Feeds, out: str) -> dict[str, Dat
     return written
 
 
+def ingest(spark: SparkSession, feeds: Feeds, out: str) -> DataFrame:
+    """Files and records of each raw feed."""
+    totals = raw.ingest_totals(
+        spark,
+        {
+            "revisions": (feeds.revisions, "revid"),
+            "entities": (feeds.entities, "qid"),
+            "pageviews": (feeds.pageviews, "views"),
+        },
+    )
+    return sinks.write_parquet(totals, f"{out}/ingest_totals")
+
+
 def analyse(revisions: DataFrame, article_features: DataFrame, out: str) -> dict[str, DataFrame]:
     """Co-editing network, edit wars and topic comparison."""
     written: dict[str, DataFrame] = {}
@@ -135,6 +148,7 @@ def verify(spark: SparkSession, feeds: Feeds, tables: dict[str, DataFrame]) -> D
 
 def run(spark: SparkSession, feeds: Feeds, out: str, timeline_target: str = "Climate_change") -> DataFrame:
     """All steps; returns the outcome of the checks."""
+    ingest(spark, feeds, out)
     tables = build_features(spark, feeds, out)
     tables |= analyse(tables["revisions_clean"], tables["article_features"], out)
     tables |= classify(tables["article_features"], out)

@@ -99,3 +99,17 @@ def ingest_counts(spark: SparkSession, path: str, key_field: str) -> DataFrame:
     )
     files = file_manifest(spark, {"": path}).select(F.col("path").alias("file"))
     return files.join(counts, "file", "left").fillna({"records": 0, "keyed_records": 0})
+
+
+def ingest_totals(spark: SparkSession, datasets: dict[str, tuple[str, str]]) -> DataFrame:
+    """(dataset, files, records) per named (path, key field)."""
+    totals = [
+        ingest_counts(spark, path, key_field)
+        .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
+        .select(F.lit(name).alias("dataset"), "files", "records")
+        for name, (path, key_field) in datasets.items()
+    ]
+    out = totals[0]
+    for t in totals[1:]:
+        out = out.unionByName(t)
+    return out

@@ -54,6 +54,8 @@ def test_tables_agree(spark, outcome):
     assert read("weekly_edit_stats").agg({"weekly_edits": "sum"}).first()[0] == revisions
     degrees = read("network_metrics").agg({"degree": "sum"}).first()[0]
     assert degrees == 2 * read("coediting_edges").count() > 0
+    ingested = {r.dataset: (r.files, r.records) for r in read("ingest_totals").collect()}
+    assert ingested == {"revisions": (40, revisions), "entities": (40, 40), "pageviews": (40, 360)}
     published = {r.collection: r.documents for r in read("published").collect()}
     assert published["article_edit_metrics"] == 40
     assert published["stability_predictions"] == 2 * read("random_forest_predictions").count() > 0

@@ -73,7 +73,7 @@ def test_first_of_each(revisions, split, n):
 def test_no_slice_of_a_busy_article_is_large(revisions):
     rows = history(6, giant=400)
     pieces = sequences.sliced(revisions(rows), **TINY).filter("_busy")
-    sizes = pieces.groupBy("article_title", "_slice").count().agg(F.max("count"), F.count("*")).first()
+    sizes = pieces.groupBy("article_title", *sequences._SLICE).count().agg(F.max("count"), F.count("*")).first()
     # At most one run of five ids per moment, twice over because ids come from two ranges.
     assert sizes[0] <= 10 and sizes[1] > 50
 
@@ -81,7 +81,7 @@ def test_no_slice_of_a_busy_article_is_large(revisions):
 def test_ordinary_articles_stay_whole(revisions):
     pieces = sequences.sliced(revisions(history(7)))
     assert pieces.filter("_busy").count() == 0
-    assert pieces.select("article_title", "_slice").distinct().count() == pieces.select("article_title").distinct().count()
+    assert pieces.select("article_title", *sequences._SLICE).distinct().count() == pieces.select("article_title").distinct().count()
 
 
 @pytest.mark.parametrize("fanout, levels", [(4096, 2), (4, 3), (2, 1)])
