@@ -94,8 +94,10 @@ def ingest_counts(spark: SparkSession, path: str, key_field: str) -> DataFrame:
         .json(path)
         .select(F.col("_metadata.file_path").alias("file"), key_field, "_broken")
     )
+    # The record itself is counted, since Spark does not read a file for its damage alone.
+    whole = F.when(F.col("_broken").isNull(), F.struct(key_field))
     counts = parsed.groupBy("file").agg(
-        F.count_if(F.col("_broken").isNull()).alias("records"), F.count(key_field).alias("keyed_records")
+        F.count(whole).alias("records"), F.count(key_field).alias("keyed_records")
     )
     files = file_manifest(spark, {"": path}).select(F.col("path").alias("file"))
     return files.join(counts, "file", "left").fillna({"records": 0, "keyed_records": 0})

@@ -49,6 +49,8 @@ def test_ingest_counts(spark, tmp_path):
     write(tmp_path, "empty.json", "[]")
     got = {r.file.rsplit("/", 1)[1]: (r.records, r.keyed_records) for r in raw.ingest_counts(spark, str(tmp_path), "revid").collect()}
     assert got == {"array.json": (3, 2), "object.json": (1, 1), "broken.json": (0, 0), "empty.json": (0, 0)}
+    totals = raw.ingest_totals(spark, {"revisions": (str(tmp_path), "revid")}).first()
+    assert tuple(totals) == ("revisions", 4, 4)
     manifest = raw.file_manifest(spark, {"revisions": str(tmp_path)})
     assert manifest.count() == 4 and manifest.agg({"length": "min"}).first()[0] == 2
     assert "content" not in manifest.columns
