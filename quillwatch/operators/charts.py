@@ -71,8 +71,8 @@ def top_degree_labels(edges: DataFrame, labelled: int = LABELLED) -> DataFrame:
 
 
 def score_counts(scored: DataFrame, score: str = "score", label: str = "stability_label") -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return scored.groupBy(F.col(score).alias("score")).agg(
+    """Positives and negatives per distinct score; rows without a score take no part."""
+    return scored.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1.0).alias("pos"), F.count_if(F.col(label) != 1.0).alias("neg")
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,6 @@ TOP_EDITORS = 200
 # Longest list of names that is broadcast.
 BROADCAST_NAMES = 100_000
 
-_FANOUT = 64
-
 
 def _whole(x: Column) -> Column:
     """Whole part of a number that is never null."""
@@ -40,77 +40,88 @@ def of_top_editors(edits: DataFrame, k: int = TOP_EDITORS) -> DataFrame:
     return edits.join(F.broadcast(names) if k <= BROADCAST_NAMES else names, "user", "left_semi")
 
 
+def activity_cells(edits: DataFrame, window_seconds: int = DAY_SECONDS) -> DataFrame:
+    """One row per article, window of ``window_seconds`` and editor: the number of edits ``n``,
+    and ``spans``, the counts per second inside spans of about sqrt(window_seconds).
+
+    Edits are counted per second map-side first. What is then gathered per article and window
+    is at most one count per editor and second, whatever the number of edits.
+    """
+    span_seconds = math.isqrt(window_seconds - 1) + 1
+    second = F.unix_timestamp(F.col("edit_timestamp").cast("timestamp"))
+    return (
+        edits.filter(F.col("edit_timestamp").isNotNull())
+        .select(
+            "article_title",
+            "user",
+            _whole(second / window_seconds).alias("window"),
+            F.pmod(second, F.lit(window_seconds)).alias("at"),
+        )
+        .groupBy("article_title", "window", "user", "at")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartition("article_title", "window")
+        .groupBy("article_title", "window", "user", _whole(F.col("at") / span_seconds).alias("span"))
+        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("at", "n")).alias("seconds"))
+        .groupBy("article_title", "window", "user")
+        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("span", "n", "seconds")).alias("spans"))
+    )
+
+
+def _total(counts: Column, of) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("bigint"), lambda sofar, c: sofar + of(c))
+
+
+def _not_later(ys: Column, xs: Column) -> Column:
+    """Over two editors' spans, the number of (y, x) pairs of edits with y at or before x
+    within the window: whole spans before x's, and within x's span second by second."""
+
+    def in_span(x_span):
+        before = F.filter(ys, lambda y: y["span"] < x_span["span"])
+        beside = F.filter(ys, lambda y: y["span"] == x_span["span"])
+        by_second = lambda y_span: _total(
+            x_span["seconds"],
+            lambda x: x["n"]
+            * _total(F.filter(y_span["seconds"], lambda y: y["at"] <= x["at"]), lambda y: y["n"]),
+        )
+        return x_span["n"] * _total(before, lambda y: y["n"]) + _total(beside, by_second)
+
+    return _total(xs, in_span)
+
+
 def coedit_pairs(edits: DataFrame, within_seconds: int = DAY_SECONDS) -> DataFrame:
     """How often two editors met on an article: (article, editor_a < editor_b, n_pairs), where
     ``n_pairs`` counts pairs of edits at most ``within_seconds`` apart.
 
     Pairs of edits are counted, never listed. Cut time into windows of ``within_seconds``.
     Two edits in the same window are always close enough, so the product of two counts
-    covers them. Edits in neighbouring windows are close enough when the later one's offset
-    does not exceed the earlier one's. Offsets are compared digit by digit in base 64: at the
-    first differing digit the smaller one wins, and within one digit string only counts per
-    digit are needed. A group of a join is therefore at most one list of 64 counts per
-    editor, however many edits an article collects in a day.
+    covers them. Edits in neighbouring windows are close enough when the later one's place in
+    its window is not behind the earlier one's. The join meets editors, not edits.
     """
-    second = F.unix_timestamp(F.col("edit_timestamp").cast("timestamp"))
-    timed = edits.filter(F.col("edit_timestamp").isNotNull()).select(
-        "article_title",
-        "user",
-        _whole(second / within_seconds).alias("window"),
-        F.pmod(second, F.lit(within_seconds)).alias("offset"),
+    cells = activity_cells(edits, within_seconds)
+    none = F.array().cast("array<struct<span:bigint,n:bigint,seconds:array<struct<at:bigint,n:bigint>>>>")
+    roles = F.array(
+        F.struct(F.col("window").alias("meets"), F.lit(True).alias("same"), none.alias("spans")),
+        F.struct((F.col("window") - 1).alias("meets"), F.lit(False).alias("same"), F.col("spans").alias("spans")),
     )
-
-    units = [1]
-    while units[-1] * _FANOUT < within_seconds:
-        units.append(units[-1] * _FANOUT)
-    zero = F.lit(0).cast("bigint")
-    same_window = F.struct(
-        F.lit(0).alias("unit"), F.col("window").alias("meets"), zero.alias("prefix"), zero.alias("digit")
-    )
-    next_window = [
-        F.struct(
-            F.lit(unit).alias("unit"),
-            (F.col("window") - 1).alias("meets"),
-            _whole(F.col("offset") / (unit * _FANOUT)).alias("prefix"),
-            _whole(F.col("offset") / unit).alias("digit"),
-        )
-        for unit in units
-    ]
-    group = ["article_title", "window", "meets", "unit", "prefix"]
-    histograms = (
-        timed.select("article_title", "user", "window", F.explode(F.array(same_window, *next_window)).alias("at"))
-        .select("article_title", "user", "window", "at.*")
-        .groupBy(*group, "user", "digit")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*group, "user")
-        .agg(F.collect_list(F.struct("digit", "n")).alias("counts"))
+    earlier = cells.select(
+        "article_title", "window", F.col("user").alias("u"), F.col("n").alias("u_n"), F.col("spans").alias("u_spans")
     )
-    # Both sides are the same table under other names, computed once.
-    earlier = histograms.select(
-        "article_title", "window", "unit", "prefix", F.col("user").alias("u"), F.col("counts").alias("from_u")
-    )
-    later = histograms.select(
+    later = cells.select(
+        "article_title", F.col("user").alias("v"), F.col("n").alias("v_n"), F.explode(roles).alias("role")
+    ).select(
         "article_title",
-        F.col("meets").alias("window"),
-        "unit",
-        "prefix",
-        F.col("user").alias("v"),
-        F.col("counts").alias("from_v"),
+        F.col("role.meets").alias("window"),
+        "v",
+        "v_n",
+        F.col("role.same").alias("same"),
+        F.col("role.spans").alias("v_spans"),
     )
-    # Below the last digit offsets are equal, which still counts; above it they must differ.
-    strictly = F.when(F.col("unit") > 1, 1).otherwise(0)
-
-    def total(counts, of):
-        return F.aggregate(counts, F.lit(0).cast("bigint"), lambda sofar, c: sofar + of(c))
-
-    close = total(
-        F.col("from_u"),
-        lambda x: x["n"]
-        * total(F.filter(F.col("from_v"), lambda y: y["digit"] + strictly <= x["digit"]), lambda y: y["n"]),
+    different = F.when(F.col("same"), F.col("u") < F.col("v")).otherwise(F.col("u") != F.col("v"))
+    close = F.when(F.col("same"), F.col("u_n") * F.col("v_n")).otherwise(
+        _not_later(F.col("v_spans"), F.col("u_spans"))
     )
-    different = F.when(F.col("unit") == 0, F.col("u") < F.col("v")).otherwise(F.col("u") != F.col("v"))
     return (
-        earlier.join(later, ["article_title", "window", "unit", "prefix"])
+        earlier.join(later, ["article_title", "window"])
         .filter(different)
         .select(
             F.least("u", "v").alias("editor_a"),
