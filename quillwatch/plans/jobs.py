@@ -29,11 +29,19 @@ class Feeds:
     topics: str
 
 
-def build_features(spark: SparkSession, feeds: Feeds, out: str) -> dict[str, DataFrame]:
-    """Clean tables and per-article features."""
+def build_features(
+    spark: SparkSession, feeds: Feeds, out: str, max_revisions: int | None = None
+) -> dict[str, DataFrame]:
+    """Clean tables and per-article features. ``max_revisions`` keeps only that many of the
+    oldest revisions per article, as a feed that is fetched with such a cap would."""
     topic_of = cleaning.topic_dimension(spark.read.parquet(feeds.topics))
+    revisions = cleaning.clean_revisions(raw.scan_revisions(spark, feeds.revisions))
+    if max_revisions is not None:
+        revisions = cleaning.cap_revisions(
+            sinks.write_parquet(revisions, f"{out}/revisions_uncapped"), max_revisions
+        )
     tables = {
-        "revisions_clean": cleaning.clean_revisions(raw.scan_revisions(spark, feeds.revisions)),
+        "revisions_clean": revisions,
         "entities_clean": cleaning.clean_entities(raw.scan_entities(spark, feeds.entities), topic_of),
         "pageviews_clean": cleaning.clean_pageviews(raw.scan_pageviews(spark, feeds.pageviews)),
     }
@@ -146,10 +154,16 @@ def verify(spark: SparkSession, feeds: Feeds, tables: dict[str, DataFrame]) -> D
     return quality.summary(checks)
 
 
-def run(spark: SparkSession, feeds: Feeds, out: str, timeline_target: str = "Climate_change") -> DataFrame:
+def run(
+    spark: SparkSession,
+    feeds: Feeds,
+    out: str,
+    timeline_target: str = "Climate_change",
+    max_revisions: int | None = None,
+) -> DataFrame:
     """All steps; returns the outcome of the checks."""
     ingest(spark, feeds, out)
-    tables = build_features(spark, feeds, out)
+    tables = build_features(spark, feeds, out, max_revisions)
     tables |= analyse(tables["revisions_clean"], tables["article_features"], out)
     tables |= classify(tables["article_features"], out)
     tables |= chart_tables(tables, out, timeline_target)
@@ -162,13 +176,15 @@ def main() -> None:
     for name in ("revisions", "entities", "pageviews", "topics", "out"):
         p.add_argument(f"--{name}", required=True, help=f"path of the {name} folder")
     p.add_argument("--timeline", default="Climate_change", help="article of the timeline chart")
+    p.add_argument("--max-revisions", type=int, help="oldest revisions to keep per article")
     a = p.parse_args()
     spark = (
         SparkSession.builder.appName("quillwatch")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    run(spark, Feeds(a.revisions, a.entities, a.pageviews, a.topics), a.out, a.timeline).show(100, False)
+    feeds = Feeds(a.revisions, a.entities, a.pageviews, a.topics)
+    run(spark, feeds, a.out, a.timeline, a.max_revisions).show(100, False)
 
 
 if __name__ == "__main__":

@@ -28,6 +28,17 @@ def scan_revisions(spark: SparkSession, path: str, pretty: bool = False) -> Data
     return _scan(spark, path, schemas.REVISION, pretty)
 
 
+def stream_revisions(spark: SparkSession, path: str) -> DataFrame:
+    """The revision feed as a stream: files that appear under ``path`` are read once each."""
+    return (
+        spark.readStream.schema(schemas.REVISION)
+        .option("mode", "PERMISSIVE")
+        .option("ignoreCorruptFiles", True)
+        .option("ignoreMissingFiles", True)
+        .json(path)
+    )
+
+
 def scan_entities(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
     return _scan(spark, path, schemas.ENTITY, pretty)
 

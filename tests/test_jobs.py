@@ -37,17 +37,17 @@ def outcome(spark, tmp_path_factory):
     spark.createDataFrame(topics, "article_title STRING, topic_category STRING, list_order INT").write.parquet(str(base / "topics"))
     feeds = jobs.Feeds(*(str(base / n) for n in ("revisions", "entities", "pageviews", "topics")))
     out = str(base / "out")
-    return jobs.run(spark, feeds, out).collect(), out, revid
+    return jobs.run(spark, feeds, out).collect(), out, revid, feeds
 
 
 def test_all_checks_pass(outcome):
-    checks, _, _ = outcome
+    checks, *_ = outcome
     assert {c.outcome for c in checks} == {"PASSED"}
     assert {"min_files:pageviews", "required_field:revid", "output:edit_wars", "output:model_metrics"} <= {c.check for c in checks}
 
 
 def test_tables_agree(spark, outcome):
-    _, out, revisions = outcome
+    _, out, revisions, _ = outcome
     read = lambda name: spark.read.parquet(f"{out}/{name}")
     assert read("revisions_clean").count() == revisions
     assert read("article_features").agg({"total_edits": "sum"}).first()[0] == revisions
@@ -66,3 +66,9 @@ def test_tables_agree(spark, outcome):
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+def test_capped_history(spark, outcome, tmp_path):
+    *_, feeds = outcome
+    tables = jobs.build_features(spark, feeds, str(tmp_path), max_revisions=10)
+    assert {r.total_edits for r in tables["article_features"].collect()} == {10}

@@ -135,3 +135,16 @@ def test_parquet_round_trip(spark, tmp_path):
     df = spark.range(3)
     for _ in range(2):
         assert sinks.write_parquet(df, str(tmp_path / "t")).count() == 3
+
+
+def test_a_giant_title_spreads_over_files(spark, tmp_path):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "20KB")
+    try:
+        df = spark.range(0, 60_000, 1, 16).selectExpr("if(id % 3 > 0, 'Giant', concat('A', id % 30)) AS article_title", "id AS revid")
+        sinks.write_raw_by_title(df, str(tmp_path / "raw"))
+    finally:
+        spark.conf.set(setting, before)
+    assert len(list((tmp_path / "raw" / "safe_title=Giant").glob("*.json"))) > 3
+    assert spark.read.json(str(tmp_path / "raw")).count() == 60_000
