@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 # A group with more rows than this is ordered in slices instead of as a whole.
 BUSY_ROWS = 2_000_000
 # Bound on the broadcast list of such groups. It steers only how work is split: a group that
-# does not make the list is ordered as a whole, with the same result.
+# does not make the list holds less than a ten-thousandth of all rows and is ordered as a
+# whole, with the same result.
 BUSY_GROUPS = 10_000
 SLICE_SECONDS = 60
 

@@ -28,13 +28,14 @@ CHECK_REVISION_CAP = 50
 
 def query(name: str):
     """Register under ``name``. Fractions are rounded to six places, so that a different
-    order of additions does not show."""
+    order of additions does not show; times are given without a zone, like the test tables."""
 
     def register(f: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             df = f(spark, folder)
-            fractions = [n for n, t in df.dtypes if t == "double"]
-            return df.withColumns({n: F.round(n, 6) for n in fractions}) if fractions else df
+            shown = {n: F.round(n, 6) for n, t in df.dtypes if t == "double"}
+            shown |= {n: F.col(n).cast("timestamp_ntz") for n, t in df.dtypes if t == "timestamp"}
+            return df.withColumns(shown) if shown else df
 
         QUERIES[name] = run
         return f
@@ -624,5 +625,5 @@ def _(spark, folder):
 @query("stream_weekly_edit_wars")
 def _(spark, folder):
     schema = b.table(spark, folder, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    events = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet*")
     return episodes.edit_wars(stream.run_available(stream.weekly_edit_stream(b.as_revisions(events))))

@@ -12,7 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-    "date": "DATE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 

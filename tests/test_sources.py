@@ -1,6 +1,5 @@
 import json
 
-import pytest
 
 from quillwatch.sources import raw, replies, sinks
 
