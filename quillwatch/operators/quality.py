@@ -55,8 +55,13 @@ def required_field(raw: DataFrame, field: str) -> DataFrame:
     )
 
 
-def outputs_present(tables: dict[str, DataFrame]) -> DataFrame:
-    return at_least(table_counts(tables), "output", 1)
+def outputs_present(tables: dict[str, DataFrame], may_be_empty: tuple[str, ...] = ()) -> DataFrame:
+    """Every table can be read and has rows; those in ``may_be_empty`` need no rows."""
+    counts = table_counts(tables)
+    optional = F.col("name").isin(*may_be_empty)
+    return at_least(counts.filter(~optional), "output", 1).unionByName(
+        at_least(counts.filter(optional), "output", 0)
+    )
 
 
 def summary(checks: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ def flatten_revisions(replies: DataFrame) -> DataFrame:
     pages = replies.select("article_title", F.explode(reply["query"]["pages"]).alias("page_id", "page"))
     revisions = pages.filter(F.col("page_id") != "-1").select(
         "article_title",
-        F.try_to_number("page_id", F.lit("999999999999999999")).cast("bigint").alias("pageid"),
+        F.col("page_id").try_cast("bigint").alias("pageid"),
         F.explode("page.revisions").alias("r"),
     )
     return revisions.select("r.*", "article_title", "pageid")

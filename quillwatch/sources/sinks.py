@@ -33,7 +33,7 @@ def publish_documents(
     format: str = "text",
     **options,
 ) -> DataFrame:
-    """Replace every collection by its table, one JSON document per row, and return
+    """Replace every collection by its table, one JSON document per row with nulls kept, and return
     (collection, documents). A missing table is skipped and counts 0.
 
     ``format`` other than text hands the rows themselves to that connector, with ``options``
@@ -45,7 +45,8 @@ def publish_documents(
             continue
         if format == "text":
             target = f"{folder}/{name}"
-            table.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(target)
+            document = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+            table.select(document.alias("value")).write.mode("overwrite").text(target)
             written[name] = spark.read.text(target)
         else:
             table.write.format(format).mode("overwrite").options(collection=name, **options).save()

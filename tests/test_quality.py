@@ -22,3 +22,8 @@ def test_summary_reports_failures(spark):
     assert {r.name: r["rows"] for r in quality.with_total(quality.table_counts(tables)).collect()} == {"full": 4, "empty": 0, "total": 4}
     got = {r.check: (r.outcome, r.passed_checks, r.total_checks) for r in quality.summary(quality.outputs_present(tables)).collect()}
     assert got == {"output:full": ("PASSED", 1, 2), "output:empty": ("NEEDS ATTENTION", 1, 2)}
+
+
+def test_a_table_may_be_allowed_to_be_empty(spark):
+    checks = quality.outputs_present({"full": spark.range(4), "empty": spark.range(0)}, ("empty",))
+    assert rows(checks) == {"output:full": (4, 1, True), "output:empty": (0, 0, True)}

@@ -122,6 +122,8 @@ def test_publish_is_a_full_refresh(spark, tmp_path):
         counted = {r.collection: r.documents for r in counts.collect()}
     assert counted == {"one": 1, "none": 0}
     assert json.loads(spark.read.text(f"{tmp_path}/one").first().value) == {"a": 1, "b": [0.5, 0.5]}
+    sinks.publish_documents(spark, {"one": table.filter("a = 2")}, str(tmp_path))
+    assert json.loads(spark.read.text(f"{tmp_path}/one").first().value) == {"a": 2, "b": None}
 
 
 def test_publish_through_a_connector(spark, tmp_path):
