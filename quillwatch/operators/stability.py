@@ -28,6 +28,8 @@ SEED = 42
 FOREST = {"numTrees": 100, "maxDepth": 8, "seed": SEED}
 REGRESSION = {"maxIter": 100, "regParam": 0.01, "elasticNetParam": 0.5}
 
+ROWS_PER_TRAINING_TASK = 50_000
+
 
 def with_label(features: DataFrame, above: float = UNSTABLE_ABOVE) -> DataFrame:
     return features.withColumn("stability_label", stability_label("reversion_rate", above))
@@ -83,12 +85,22 @@ def train_test_split(rows: DataFrame, **split) -> tuple[DataFrame, DataFrame]:
     return side("train"), side("test")
 
 
+def in_fixed_order(rows: DataFrame, key: str = "article_title") -> DataFrame:
+    """Rows placed and ordered by their key alone, in as many tasks as their number asks for.
+    The forest draws its samples per partition in row order, so a fit comes out the same
+    however the table was stored or recomputed."""
+    tasks = rows.count() // ROWS_PER_TRAINING_TASK + 1
+    return rows.repartition(tasks, key).sortWithinPartitions(key)
+
+
 def fit_forest(train: DataFrame):
-    return RandomForestClassifier(labelCol="stability_label", featuresCol="features", **FOREST).fit(train)
+    forest = RandomForestClassifier(labelCol="stability_label", featuresCol="features", **FOREST)
+    return forest.fit(in_fixed_order(train))
 
 
 def fit_regression(train: DataFrame):
-    return LogisticRegression(labelCol="stability_label", featuresCol="features", **REGRESSION).fit(train)
+    regression = LogisticRegression(labelCol="stability_label", featuresCol="features", **REGRESSION)
+    return regression.fit(in_fixed_order(train))
 
 
 def predictions_of(model, test: DataFrame) -> DataFrame:

@@ -81,6 +81,15 @@ def test_models_predict_and_report(spark, table):
     assert relational.f1 == pytest.approx(scores["RandomForest"]["f1"])
 
 
+def test_fit_does_not_depend_on_storage(table, monkeypatch):
+    monkeypatch.setattr(stability, "ROWS_PER_TRAINING_TASK", 70)
+    vectors = stability.feature_vectors(table)
+    a = stability.fit_forest(vectors.repartition(3, "edit_velocity"))
+    b = stability.fit_forest(vectors.repartition(17).orderBy("reversion_rate"))
+    assert list(a.featureImportances) == list(b.featureImportances)
+    assert stability.in_fixed_order(vectors).rdd.getNumPartitions() == 5
+
+
 def test_relational_scores_match_evaluators(scored):
     vectors = scored.withColumn("rawPrediction", array_to_vector(F.array(1 - F.col("score"), "score")))
     evaluated = stability.evaluate(vectors)
