@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,15 +28,28 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def word_pattern(words: Sequence[str] = REVERT_WORDS) -> str:
-    """Case-insensitive pattern that finds any of ``words`` anywhere in a text. A word that
-    contains another word of the list can never decide a match, so it is left out."""
-    needed = [w for w in words if not any(o != w and o in w for o in words)]
-    return "(?i)(" + "|".join(needed) + ")"
+def _needed(words: Sequence[str]) -> list[str]:
+    """A word that contains another word of the list can never decide a match."""
+    return [w for w in words if not any(o != w and o in w for o in words)]
+
+
+def word_pattern(words: Sequence[str]) -> str:
+    """Pattern that finds any of ``words`` anywhere in a text, ignoring the case of A to Z."""
+    return "(?i)(" + "|".join(_needed(words)) + ")"
+
+
+def mentions(text: Column | str, words: Sequence[str]) -> Column:
+    """Whether any of ``words`` (in lower case) occurs in a text, ignoring the case of A to Z.
+    Plain ASCII text is searched as bytes, several times faster than by pattern; lower-casing
+    other text could turn foreign letters into these, so there the pattern decides."""
+    text = _col(text)
+    plain = F.octet_length(text) == F.length(text)
+    found = reduce(lambda a, b: a | b, [F.lower(text).contains(w) for w in _needed(words)])
+    return F.when(plain, found).otherwise(text.rlike(word_pattern(words)))
 
 
 def revert_flag(comment: Column | str) -> Column:
-    return F.coalesce(_col(comment).rlike(word_pattern()), F.lit(False))
+    return F.coalesce(mentions(comment, REVERT_WORDS), F.lit(False))
 
 
 def event_time(text: Column | str) -> Column:

@@ -7,6 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillwatch.functions import mentions
+
+# Fixed value: what marks a user name as a bot's, wherever it occurs.
+BOT_WORDS = ("bot",)
 DAY_SECONDS = 86_400
 TOP_EDITORS = 200
 # Longest list of names that is broadcast.
@@ -20,7 +24,7 @@ def _whole(x: Column) -> Column:
 
 def named_edits(revisions: DataFrame) -> DataFrame:
     """Edits by people who were logged in and do not look like bots."""
-    return revisions.filter((F.col("userid") > 0) & ~F.col("user").rlike("(?i)bot")).select(
+    return revisions.filter((F.col("userid") > 0) & ~mentions("user", BOT_WORDS)).select(
         "article_title", "user", "edit_timestamp"
     )
 

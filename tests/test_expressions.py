@@ -2,6 +2,7 @@ import datetime as dt
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillwatch import functions as q
 
@@ -22,6 +23,9 @@ def one(spark, value, ddl, expr):
         ("Restored to last good", True),
         ("RollBack", True),
         ("undone", True),
+        ("→ UNDID revision", True),
+        ("café", False),
+        ("rollbac\u212a", False),  # the Kelvin sign is no letter k
         ("", False),
         (None, False),
     ],
@@ -31,7 +35,7 @@ def test_revert_flag(spark, comment, expected):
 
 
 def test_redundant_words_are_left_out():
-    assert q.word_pattern() == "(?i)(revert|rv |undid|undo|rollback|restored)"
+    assert q.word_pattern(q.REVERT_WORDS) == "(?i)(revert|rv |undid|undo|rollback|restored)"
 
 
 @pytest.mark.parametrize("text", ["2022-03-24T00:02:57Z", "not a time", None])
@@ -78,3 +82,11 @@ def test_stability_label(spark, rate, expected):
 def test_per_never_divides_by_less_than_one(spark):
     df = spark.createDataFrame([(3, 0)], "a BIGINT, b BIGINT")
     assert df.select(q.per("a", "b")).first()[0] == 3.0
+
+
+def test_search_agrees_with_the_plain_pattern(spark):
+    pattern = "(?i)(" + "|".join(q.REVERT_WORDS) + ")"
+    texts = ["", "x", "RV x", "rv", "RVx", "ſerv x", "UNDO ü", "Rest\u00f6red", "RESTORED", "un do", "\u0130undid", "ROLLBAC\u212a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x STRING")
+    rows = df.select(q.mentions("x", q.REVERT_WORDS).alias("a"), F.col("x").rlike(pattern).alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and {r.a for r in rows} == {True, False, None}
