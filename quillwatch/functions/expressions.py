@@ -45,7 +45,7 @@ def mentions(text: Column | str, words: Sequence[str]) -> Column:
     text = _col(text)
     plain = F.octet_length(text) == F.length(text)
     found = reduce(lambda a, b: a | b, [F.lower(text).contains(w) for w in _needed(words)])
-    return F.when(plain, found).otherwise(text.rlike(word_pattern(words)))
+    return (plain & found) | (~plain & text.rlike(word_pattern(words)))
 
 
 def revert_flag(comment: Column | str) -> Column:

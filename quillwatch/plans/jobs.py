@@ -20,8 +20,8 @@ from quillwatch.sources import raw, sinks
 
 @dataclass
 class Feeds:
-    """Paths of the raw inputs. ``topics`` is a table (article_title, topic_category,
-    list_order) of curated titles, in any format whose schema Spark can read from Parquet."""
+    """Paths of the raw inputs: three JSON feeds, and ``topics``, a Parquet table
+    (article_title, topic_category, list_order) of curated titles."""
 
     revisions: str
     entities: str
