@@ -30,5 +30,5 @@ def test_local_session_without_setting_gets_one_folder():
 def test_materialized_table_starts_a_new_plan(spark):
     df = spark.range(5).selectExpr("id", "id * 2 AS twice")
     table = session.materialize(df, "numbers")
-    assert table.schema == df.schema and table.count() == 5
+    assert table.dtypes == df.dtypes and table.count() == 5
     assert "Range" not in table._jdf.queryExecution().optimizedPlan().toString()
