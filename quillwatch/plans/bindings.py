@@ -111,7 +111,7 @@ def raw_revisions(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_pageviews(spark: SparkSession, folder: str) -> DataFrame:
     return pageviews(spark, folder).select(
-        F.lit("en.wikipedia").alias("project"),
+        F.lit("en.project").alias("project"),
         F.col("article_title").alias("article"),
         F.lit("daily").alias("granularity"),
         F.date_format("view_date", "yyyyMMdd'00'").alias("timestamp"),

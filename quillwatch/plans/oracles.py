@@ -66,7 +66,7 @@ views AS (
   SELECT 'A' || json_extract_string(props, '$.k') AS article_title, ts::DATE AS view_date, count(*) AS views
   FROM events WHERE event_type = 'view' GROUP BY 1, 2),
 raw_views AS (
-  SELECT 'en.wikipedia' AS project, article_title AS article, 'daily' AS granularity,
+  SELECT 'en.project' AS project, article_title AS article, 'daily' AS granularity,
          strftime(view_date, '%Y%m%d') || '00' AS "timestamp", 'all-access' AS access, 'all-agents' AS agent,
          views, article_title
   FROM views),
