@@ -95,7 +95,7 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """The documents that stay, with all their columns."""
     digest = free_name(docs, "digest")
     stay = mark_copies(docs, id_column, text_column, counters).where("kept")
-    stay = stay.select(F.col(id_column).alias("_id"), F.unhex("text_sha256").alias("_digest"))
+    stay = stay.select(F.col(id_column).alias("__id"), F.unhex("text_sha256").alias("__digest"))
     here = with_digest(docs, digest, text_column).alias("d")
-    same = F.col(f"d.{digest}").eqNullSafe(F.col("_digest")) & F.col(f"d.{id_column}").eqNullSafe(F.col("_id"))
+    same = F.col(f"d.{digest}").eqNullSafe(F.col("__digest")) & F.col(f"d.{id_column}").eqNullSafe(F.col("__id"))
     return here.join(stay, same, "left_semi").dropDuplicates([digest, id_column]).drop(digest)
