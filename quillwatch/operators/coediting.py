@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwatch.functions import mentions
@@ -12,14 +10,8 @@ from quillwatch.functions import mentions
 # Fixed value: what marks a user name as a bot's, wherever it occurs.
 BOT_WORDS = ("bot",)
 DAY_SECONDS = 86_400
+# The network is defined over the most active editors; None takes all of them.
 TOP_EDITORS = 200
-# Longest list of names that is broadcast.
-BROADCAST_NAMES = 100_000
-
-
-def _whole(x: Column) -> Column:
-    """Whole part of a number that is never null."""
-    return F.coalesce(F.floor(x), F.lit(0).cast("bigint"))
 
 
 def named_edits(revisions: DataFrame) -> DataFrame:
@@ -38,58 +30,48 @@ def top_editors(edits: DataFrame, k: int = TOP_EDITORS) -> DataFrame:
     return editor_activity(edits).orderBy(F.desc("edits"), F.asc("user")).limit(k)
 
 
-def of_top_editors(edits: DataFrame, k: int = TOP_EDITORS) -> DataFrame:
-    """Edits by the top ``k``. The list has at most ``k`` names; a short one is broadcast."""
-    names = top_editors(edits, k).select("user")
-    return edits.join(F.broadcast(names) if k <= BROADCAST_NAMES else names, "user", "left_semi")
+def of_top_editors(edits: DataFrame, k: int | None = TOP_EDITORS) -> DataFrame:
+    """Edits by the top ``k``, or by everyone. How the names are joined is left to Spark."""
+    return edits if k is None else edits.join(top_editors(edits, k).select("user"), "user", "left_semi")
 
 
-def activity_cells(edits: DataFrame, window_seconds: int = DAY_SECONDS) -> DataFrame:
-    """One row per article, window of ``window_seconds`` and editor: the number of edits ``n``,
-    and ``spans``, the counts per second inside spans of about sqrt(window_seconds).
-
-    Edits are counted per second map-side first. What is then gathered per article and window
-    is at most one count per editor and second, whatever the number of edits.
-    """
-    span_seconds = math.isqrt(window_seconds - 1) + 1
+def edits_per_second(edits: DataFrame, window_seconds: int = DAY_SECONDS) -> DataFrame:
+    """(article_title, window, user, at, n): edits counted by second ``at`` inside windows of
+    ``window_seconds``."""
     second = F.unix_timestamp(F.col("edit_timestamp").cast("timestamp"))
     return (
         edits.filter(F.col("edit_timestamp").isNotNull())
         .select(
             "article_title",
             "user",
-            _whole(second / window_seconds).alias("window"),
+            F.coalesce(F.floor(second / window_seconds), F.lit(0)).alias("window"),
             F.pmod(second, F.lit(window_seconds)).alias("at"),
         )
         .groupBy("article_title", "window", "user", "at")
         .agg(F.count(F.lit(1)).alias("n"))
-        .repartition("article_title", "window")
-        .groupBy("article_title", "window", "user", _whole(F.col("at") / span_seconds).alias("span"))
-        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("at", "n")).alias("seconds"))
-        .groupBy("article_title", "window", "user")
-        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("span", "n", "seconds")).alias("spans"))
     )
 
 
-def _total(counts: Column, of) -> Column:
-    return F.aggregate(counts, F.lit(0).cast("bigint"), lambda sofar, c: sofar + of(c))
+def _by_prefix(seconds: DataFrame, window_seconds: int) -> DataFrame:
+    """(article_title, window, level, prefix, upper, user, n): edits counted by the leading bits
+    of their second, for every number ``level`` of bits left out, and by the next bit, ``upper``.
 
-
-def _not_later(ys: Column, xs: Column) -> Column:
-    """Over two editors' spans, the number of (y, x) pairs of edits with y at or before x
-    within the window: whole spans before x's, and within x's span second by second."""
-
-    def in_span(x_span):
-        before = F.filter(ys, lambda y: y["span"] < x_span["span"])
-        beside = F.filter(ys, lambda y: y["span"] == x_span["span"])
-        by_second = lambda y_span: _total(
-            x_span["seconds"],
-            lambda x: x["n"]
-            * _total(F.filter(y_span["seconds"], lambda y: y["at"] <= x["at"]), lambda y: y["n"]),
+    Of two seconds, one is earlier exactly when at one level both have the same prefix, the
+    earlier one with ``upper`` unset and the later one with it set. Level -1 keeps whole
+    seconds, with ``upper`` null, for equal ones."""
+    levels = F.array(*[F.lit(i) for i in range(-1, (window_seconds - 1).bit_length())])
+    level, at = F.col("level"), F.col("at")
+    shift = lambda by: F.call_function("shiftright", at, by)
+    return (
+        seconds.select("article_title", "window", "user", "at", "n", F.explode(levels).alias("level"))
+        .select(
+            "article_title", "window", "user", "n", "level",
+            shift(level + 1).alias("prefix"),
+            F.when(level >= 0, shift(F.greatest(level, F.lit(0))).bitwiseAND(F.lit(1)) == 1).alias("upper"),
         )
-        return x_span["n"] * _total(before, lambda y: y["n"]) + _total(beside, by_second)
-
-    return _total(xs, in_span)
+        .groupBy("article_title", "window", "level", "prefix", "upper", "user")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def coedit_pairs(edits: DataFrame, within_seconds: int = DAY_SECONDS) -> DataFrame:
@@ -99,44 +81,32 @@ def coedit_pairs(edits: DataFrame, within_seconds: int = DAY_SECONDS) -> DataFra
     Pairs of edits are counted, never listed. Cut time into windows of ``within_seconds``.
     Two edits in the same window are always close enough, so the product of two counts
     covers them. Edits in neighbouring windows are close enough when the later one's place in
-    its window is not behind the earlier one's. The join meets editors, not edits.
+    its window is not behind the earlier one's; places are compared by their leading bits, which
+    are part of the join key. A busy article and day is thus spread over many keys, and each
+    holds at most two counts per editor.
     """
-    cells = activity_cells(edits, within_seconds)
-    none = F.array().cast("array<struct<span:bigint,n:bigint,seconds:array<struct<at:bigint,n:bigint>>>>")
-    roles = F.array(
-        F.struct(F.col("window").alias("meets"), F.lit(True).alias("same"), none.alias("spans")),
-        F.struct((F.col("window") - 1).alias("meets"), F.lit(False).alias("same"), F.col("spans").alias("spans")),
-    )
-    earlier = cells.select(
-        "article_title", "window", F.col("user").alias("u"), F.col("n").alias("u_n"), F.col("spans").alias("u_spans")
-    )
-    later = cells.select(
-        "article_title", F.col("user").alias("v"), F.col("n").alias("v_n"), F.explode(roles).alias("role")
-    ).select(
-        "article_title",
-        F.col("role.meets").alias("window"),
-        "v",
-        "v_n",
-        F.col("role.same").alias("same"),
-        F.col("role.spans").alias("v_spans"),
-    )
-    different = F.when(F.col("same"), F.col("u") < F.col("v")).otherwise(F.col("u") != F.col("v"))
-    close = F.when(F.col("same"), F.col("u_n") * F.col("v_n")).otherwise(
-        _not_later(F.col("v_spans"), F.col("u_spans"))
-    )
-    return (
-        earlier.join(later, ["article_title", "window"])
-        .filter(different)
-        .select(
+    seconds = edits_per_second(edits, within_seconds)
+    cells = seconds.groupBy("article_title", "window", "user").agg(F.sum("n").alias("n"))
+    key = ["article_title", "window"]
+    side = lambda rows, keys, name: rows.select(*keys, F.col("user").alias(name), F.col("n").alias(f"n_{name}"))
+    same = side(cells, key, "u").join(side(cells, key, "v"), key).filter("u < v")
+
+    # Spark computes and deals out these counts once for both sides.
+    counts = _by_prefix(seconds, within_seconds)
+    key = [*key, "level", "prefix"]
+    earlier = side(counts.filter("upper OR upper IS NULL"), key, "u")
+    later = counts.filter("NOT upper OR upper IS NULL").withColumn("window", F.col("window") - 1)
+    next_window = earlier.join(side(later, key, "v"), key).filter("u <> v")
+    met = [
+        rows.select(
+            F.col("article_title").alias("article"),
             F.least("u", "v").alias("editor_a"),
             F.greatest("u", "v").alias("editor_b"),
-            F.col("article_title").alias("article"),
-            close.alias("n"),
+            (F.col("n_u") * F.col("n_v")).alias("n"),
         )
-        .filter(F.col("n") > 0)
-        .groupBy("article", "editor_a", "editor_b")
-        .agg(F.sum("n").alias("n_pairs"))
-    )
+        for rows in (same, next_window)
+    ]
+    return met[0].unionByName(met[1]).groupBy("article", "editor_a", "editor_b").agg(F.sum("n").alias("n_pairs"))
 
 
 def coediting_edges(pairs: DataFrame) -> DataFrame:
@@ -147,5 +117,6 @@ def coediting_edges(pairs: DataFrame) -> DataFrame:
     )
 
 
-def coedit_graph(revisions: DataFrame, k: int = TOP_EDITORS) -> DataFrame:
+def coedit_graph(revisions: DataFrame, k: int | None = TOP_EDITORS) -> DataFrame:
+    """The network of the top ``k`` editors (None: of all)."""
     return coediting_edges(coedit_pairs(of_top_editors(named_edits(revisions), k)))

@@ -1,65 +1,36 @@
-"""Values of the preceding edit, and quantities along an ordered column, without ever
-sorting one large group in a single task."""
+"""Values of the preceding edit, and running quantities along an ordered column.
+
+There is one way for tables of every size. Rows are sorted over the whole cluster: ranges of the
+order, cut by sampling so that they are about equally long, are written with the number of their
+range. A window then spans one range, and what a range needs to know of earlier ones is a row or a
+sum for each of them. A giant article, a bulk import stamped with one moment, or a third of all
+scores close to zero are cut like anything else, since the cuts follow the full order.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with more rows than this is ordered in slices instead of as a whole.
-BUSY_ROWS = 2_000_000
-# Bound on the broadcast list of such groups. It steers only how work is split: a group that
-# does not make the list holds less than a ten-thousandth of all rows and is ordered as a
-# whole, with the same result.
-BUSY_GROUPS = 10_000
-SLICE_SECONDS = 60
+from quillwatch.session import materialize
 
-_BEFORE_ALL = -(2**62)
-_SLICE = ["_minute", "_moment", "_ids"]
+_RANGE = "_range"
 
 
-def busy_groups(rows: DataFrame, by: list[str], busy_rows: int = BUSY_ROWS) -> DataFrame:
-    """The largest groups above ``busy_rows``, at most ``BUSY_GROUPS`` of them."""
-    return (
-        rows.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > busy_rows)
-        .orderBy(F.desc("_n"), *by)
-        .limit(BUSY_GROUPS)
-        .select(*by)
-    )
+def ranges(rows: DataFrame, order: list[Column], tasks: int | None = None) -> DataFrame:
+    """``rows`` with ``_range``: consecutive ranges of ``order`` carry rising numbers. The
+    table is written, so that all its readers see the same cuts."""
+    dealt = rows.repartitionByRange(tasks, *order) if tasks else rows.repartitionByRange(*order)
+    return materialize(dealt.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 
 
-def sliced(
-    rows: DataFrame,
-    key: str = "article_title",
-    time: str = "edit_timestamp",
-    tie: str = "revid",
-    busy_rows: int = BUSY_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
-) -> DataFrame:
-    """Add ``_busy`` and the columns ``_SLICE``, which cut the (time, tie) order of a busy key
-    into consecutive pieces. Other keys are one piece.
-
-    A busy key is cut into time slices, and a slice that is itself busy, such as a bulk import
-    stamped with one moment, by moment and run of ids. The pieces of a key are bounded by the
-    calendar and by its ids over ``busy_rows``, not by its number of edits.
-    """
-    moment = F.col(time).cast("timestamp")
-    minute = F.coalesce(F.floor(F.unix_timestamp(moment) / slice_seconds), F.lit(_BEFORE_ALL))
-    keys = busy_groups(rows, [key], busy_rows).withColumn("_busy", F.lit(True))
-    timed = rows.join(F.broadcast(keys), key, "left").withColumn(
-        "_minute", F.when(F.col("_busy"), minute).otherwise(F.lit(0))
-    )
-    crowded = busy_groups(timed.filter("_busy"), [key, "_minute"], busy_rows).withColumn("_crowded", F.lit(True))
-    finer = lambda value: F.when(F.col("_crowded"), value).otherwise(F.lit(0))
-    return timed.join(F.broadcast(crowded), [key, "_minute"], "left").select(
-        *rows.columns,
-        F.coalesce("_busy", F.lit(False)).alias("_busy"),
-        "_minute",
-        finer(F.coalesce(F.unix_micros(moment), F.lit(_BEFORE_ALL))).alias("_moment"),
-        finer(F.floor(F.col(tie) / busy_rows)).alias("_ids"),
-    )
+def _earlier() -> Window:
+    """All ranges before this one. There are as many rows as ranges."""
+    return Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _in_time(key: str, time: str, tie: str) -> list[Column]:
+    return [F.asc_nulls_first(key), F.asc_nulls_first(time), F.asc_nulls_first(tie)]
 
 
 def with_previous(
@@ -68,29 +39,21 @@ def with_previous(
     key: str = "article_title",
     time: str = "edit_timestamp",
     tie: str = "revid",
-    **split,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add, for each ``{new: source}``, the source value of the preceding row of the same key
-    in (time, tie) order. The last row of each slice is carried into the next slice, so no
-    task orders more than one slice of a busy key."""
-    pieces = sliced(rows, key, time, tie, **split)
-    packed = F.struct(*[F.col(source).alias(new) for new, source in values.items()])
-    in_slice = Window.partitionBy(key, *_SLICE).orderBy(F.asc_nulls_first(time), F.asc(tie))
-    stepped = pieces.withColumn("_previous", F.lag(packed).over(in_slice))
-    carried = (
-        pieces.filter("_busy")
-        .groupBy(key, *_SLICE)
-        .agg(F.max_by(packed, F.struct(time, tie)).alias("_last"))
-        .select(
-            key,
-            *_SLICE,
-            F.lag("_last").over(Window.partitionBy(key).orderBy(*_SLICE)).alias("_carried"),
-        )
-    )
-    previous = F.coalesce("_previous", "_carried")
-    return stepped.join(carried, [key, *_SLICE], "left").select(
-        *rows.columns, *[previous[new].alias(new) for new in values]
-    )
+    in (time, tie) order, nulls first. The first row of a range takes it from the last row
+    before that range."""
+    order = _in_time(key, time, tie)
+    cut = ranges(rows, order, tasks)
+    packed = F.struct(F.col(key).alias("_key"), *[F.col(source).alias(new) for new, source in values.items()])
+    last = cut.groupBy(_RANGE).agg(F.max_by(packed, F.struct(key, time, tie)).alias("_last"))
+    carried = last.select(_RANGE, F.lag("_last").over(Window.orderBy(_RANGE)).alias("_carried"))
+    in_range = F.lag(packed).over(Window.partitionBy(_RANGE).orderBy(*order))
+    stepped = cut.withColumn("_before", in_range).join(carried, _RANGE, "left")
+    before = F.coalesce("_before", "_carried")
+    same = before["_key"].eqNullSafe(F.col(key))
+    return stepped.select(*rows.columns, *[F.when(same, before[new]).alias(new) for new in values])
 
 
 def first_of_each(
@@ -99,27 +62,22 @@ def first_of_each(
     key: str = "article_title",
     time: str = "edit_timestamp",
     tie: str = "revid",
-    **split,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows of every key in (time, tie) order. Of a busy key, only the slices
-    that start before its n-th row are ordered at all."""
-    pieces = sliced(rows, key, time, tie, **split)
-    earlier = Window.partitionBy(key).orderBy(*_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per busy key, hence at most BUSY_GROUPS.
-    cutoff = (
-        pieces.filter("_busy")
-        .groupBy(key, *_SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_below", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .filter(F.col("_below") < n)
-        .groupBy(key)
-        .agg(F.max(F.struct(*_SLICE)).alias("_cutoff"))
-    )
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.asc_nulls_first(time), F.asc(tie)))
+    """The first ``n`` rows of every key in (time, tie) order. Ranges before which a key already
+    has ``n`` rows are not ordered again."""
+    order = _in_time(key, time, tie)
+    cut = ranges(rows, order, tasks)
+    per_range = cut.groupBy(key, _RANGE).agg(F.count(F.lit(1)).alias("_n"))
+    sofar = F.sum("_n").over(Window.partitionBy(key).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
+    open_ranges = per_range.select(
+        F.col(key).alias("_key"), F.col(_RANGE).alias("_at"), F.coalesce(sofar, F.lit(0)).alias("_sofar")
+    ).filter(F.col("_sofar") < n)
+    here = F.col(_RANGE) == F.col("_at")
+    rank = F.row_number().over(Window.partitionBy(_RANGE, key).orderBy(*order))
     return (
-        pieces.join(F.broadcast(cutoff), key, "left")
-        .filter(F.col("_cutoff").isNull() | (F.struct(*_SLICE) <= F.col("_cutoff")))
-        .withColumn("_rank", rank)
+        cut.join(open_ranges, here & F.col(key).eqNullSafe(F.col("_key")))
+        .withColumn("_rank", rank + F.col("_sofar"))
         .filter(F.col("_rank") <= n)
         .select(*rows.columns)
     )
@@ -133,69 +91,42 @@ def length_change(revisions: DataFrame, **split) -> DataFrame:
     )
 
 
-def running_totals(
-    values: DataFrame,
-    unit: str,
-    sums: list[str],
-    fanout: int = 4096,
-    levels: int = 2,
-) -> DataFrame:
-    """Add ``below_<s>``: the total of ``s`` over all rows with a smaller ``unit``.
-
-    ``unit`` holds distinct numbers in [0, 1]. A running total over the whole table would be
-    one task, so the number is read digit by digit in base ``fanout``. Rows are totalled per
-    digit string, and at each level a row adds what its smaller siblings hold: no window
-    spans more than ``fanout`` totals, apart from the last one over rows that share all
-    ``levels`` digits.
-    """
-    digits = [f"_d{i}" for i in range(levels)]
-    cut = values.withColumn("_rest", F.col(unit).cast("double"))
-    for digit in digits:
-        scaled = F.col("_rest") * F.lit(float(fanout))
-        cut = cut.withColumn(digit, F.floor(scaled)).withColumn("_rest", scaled - F.col(digit))
-
-    # Totals of complete digit strings, plus what lies below them at every level.
-    per_string = cut.groupBy(*digits).agg(*[F.sum(s).alias(s) for s in sums])
-    below = per_string
-    for depth in range(levels):
-        prefix, digit = digits[:depth], digits[depth]
-        order = Window.partitionBy(*prefix).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
-        siblings = (
-            per_string.groupBy(*prefix, digit)
-            .agg(*[F.sum(s).alias(s) for s in sums])
-            .select(*prefix, digit, *[F.coalesce(F.sum(s).over(order), F.lit(0)).alias(f"_b{depth}_{s}") for s in sums])
-        )
-        below = below.join(siblings, [*prefix, digit])
-    below = below.select(
-        *digits, *[sum(F.col(f"_b{d}_{s}") for d in range(levels)).alias(f"_below_{s}") for s in sums]
+def running_totals(values: DataFrame, unit: str, sums: list[str], tasks: int | None = None) -> DataFrame:
+    """Add ``below_<s>``, the total of ``s`` over all rows with a smaller ``unit``, and
+    ``all_<s>``, its total over the whole table. ``unit`` holds distinct values. The source is
+    read once."""
+    cut = ranges(values, [F.asc(unit)], tasks)
+    per_range = cut.groupBy(_RANGE).agg(*[F.sum(s).alias(s) for s in sums])
+    everything = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = per_range.select(
+        _RANGE,
+        *[F.coalesce(F.sum(s).over(_earlier()), F.lit(0)).alias(f"_before_{s}") for s in sums],
+        *[F.sum(s).over(everything).alias(f"all_{s}") for s in sums],
     )
-    inside = Window.partitionBy(*digits).orderBy("_rest").rowsBetween(Window.unboundedPreceding, -1)
+    in_range = Window.partitionBy(_RANGE).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
+    below = {s: F.coalesce(F.sum(s).over(in_range), F.lit(0)) for s in sums}
     return (
-        cut.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_in_{s}") for s in sums])
-        .join(below, digits)
+        cut.withColumns({f"_in_{s}": total for s, total in below.items()})
+        .join(before, _RANGE)
         .select(
             *values.columns,
-            *[(F.col(f"_below_{s}") + F.col(f"_in_{s}")).alias(f"below_{s}") for s in sums],
+            *[(F.col(f"_before_{s}") + F.col(f"_in_{s}")).alias(f"below_{s}") for s in sums],
+            *[f"all_{s}" for s in sums],
         )
     )
 
 
 def median_of(values: DataFrame, unit: str) -> DataFrame:
-    """One row, one column ``median``: the exact interpolated median of ``unit`` in [0, 1]."""
+    """One row, one column ``median``: the exact interpolated median of ``unit``."""
     counts = (
         values.filter(F.col(unit).isNotNull())
         .groupBy(F.col(unit).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    total = counts.agg(F.sum("_n")).scalar()
-    middle = running_totals(counts, "_v", ["_n"]).filter(
-        (F.col("below__n") * 2 <= total) & ((F.col("below__n") + F.col("_n")) * 2 >= total)
-    )
     # Values that hold either of the two middle positions: positions are 0-based, and a value
     # covers positions below .. below + n - 1.
-    low = F.floor((total - 1) / 2)
-    high = F.floor(total / 2)
+    low, high = F.floor((F.col("all__n") - 1) / 2), F.floor(F.col("all__n") / 2)
     covers = lambda p: (F.col("below__n") <= p) & (p < F.col("below__n") + F.col("_n"))
-    return middle.agg(
+    return running_totals(counts, "_v", ["_n"]).agg(
         ((F.max(F.when(covers(low), F.col("_v"))) + F.max(F.when(covers(high), F.col("_v")))) / 2).alias("median")
     )

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDER: list[str] = []
+# Paths handed out inside each open ``scratch``.
+_OPEN: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,7 +31,35 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
-    return f"{shared_folder(spark)}/quillwatch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/quillwatch/{name}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, jvm_path = _file_system(spark, path)
+    return files.exists(jvm_path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside the block are deleted at its end. What is needed
+    later has to be written elsewhere before that."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            files, jvm_path = _file_system(spark, path)
+            files.delete(jvm_path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

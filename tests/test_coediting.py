@@ -76,8 +76,7 @@ def test_top_editors_settle_ties_by_name(revisions):
     top = coediting.top_editors(edits(revisions, rows), 2).collect()
     assert [(r.user, r.edits) for r in top] == [("a", 2), ("b", 2)]
     assert {r.user for r in coediting.of_top_editors(edits(revisions, rows), 2).collect()} == {"a", "b"}
-    wide = coediting.BROADCAST_NAMES + 1
-    assert coediting.of_top_editors(edits(revisions, rows), wide).count() == len(rows)
+    assert coediting.of_top_editors(edits(revisions, rows), None).count() == len(rows)
 
 
 def test_edges_count_edits_and_articles(revisions):
@@ -87,3 +86,25 @@ def test_edges_count_edits_and_articles(revisions):
     ]
     got = coediting.coedit_graph(revisions(rows)).collect()
     assert [tuple(r) for r in got] == [("x", "y", 3, 2)]
+
+
+def test_a_busy_article_and_day_is_spread(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    # 40 editors, an edit by each of them every 21 seconds for two days.
+    edits = spark.range(40 * 8228).select(
+        F.lit("Hot").alias("article_title"),
+        F.format_string("U%02d", F.col("id") % 40).alias("user"),
+        F.timestamp_seconds(1_700_000_000 + F.floor(F.col("id") / 40) * 21).alias("edit_timestamp"),
+    )
+    start = time.perf_counter()
+    pairs = coediting.coedit_pairs(edits).collect()
+    assert time.perf_counter() - start < 30
+    within = sum(min(i + 4114, 8227) - max(i - 4114, 0) + 1 for i in range(8228))
+    assert len(pairs) == 780 and {p.n_pairs for p in pairs} == {within}
+    keys = coediting._by_prefix(coediting.edits_per_second(edits), 86_400).groupBy("window", "level", "prefix").count()
+    assert keys.agg(F.max("count")).first()[0] <= 80
+    plan = coediting.coedit_pairs(edits)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "collect_list" not in plan

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from quillwatch.operators import sequences
 
-# Small enough that the giant article of the fixtures is cut into many slices, and its bulk
-# import into runs of ids.
-TINY = {"busy_rows": 5, "slice_seconds": 60}
-WHOLE = {}
+# Cut the order into many ranges, within the giant article and its bulk import too.
+TINY = {"tasks": 40}
+WHOLE = {"tasks": 1}
 
 
 def history(seed, giant=150, others=40):
@@ -70,31 +69,40 @@ def test_first_of_each(revisions, split, n):
     assert got == {r[1] for _, group in in_order(rows) for r in group[:n]}
 
 
-def test_no_slice_of_a_busy_article_is_large(revisions):
-    rows = history(6, giant=400)
-    pieces = sequences.sliced(revisions(rows), **TINY).filter("_busy")
-    sizes = pieces.groupBy("article_title", *sequences._SLICE).count().agg(F.max("count"), F.count("*")).first()
-    # At most one run of five ids per moment, twice over because ids come from two ranges.
-    assert sizes[0] <= 10 and sizes[1] > 50
+def test_ranges_of_a_crowded_minute_are_even(revisions):
+    rows = [("Giant", i, "U", later(i / 20_000 * 60), 1) for i in range(20_000)]
+    rows += [("Giant", 100_000 + i, "U", later(7), 1) for i in range(20_000)]
+    cut = sequences.ranges(revisions(rows).repartition(8), sequences._in_time("article_title", "edit_timestamp", "revid"), 40)
+    sizes = cut.groupBy(sequences._RANGE).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[1] == 40 and sizes[0] < 3_000
 
 
-def test_ordinary_articles_stay_whole(revisions):
-    pieces = sequences.sliced(revisions(history(7)))
-    assert pieces.filter("_busy").count() == 0
-    assert pieces.select("article_title", *sequences._SLICE).distinct().count() == pieces.select("article_title").distinct().count()
+def test_null_keys_and_ids_keep_their_order(spark):
+    rows = [("A", None, 1, 10), ("A", None, None, 5), (None, None, 1, 7), (None, None, 2, 8), ("A", None, 3, 20)]
+    df = spark.createDataFrame(rows, "article_title STRING, edit_timestamp TIMESTAMP, revid BIGINT, content_length BIGINT")
+    got = sequences.with_previous(df.repartition(3), {"prev": "content_length"}, tasks=5).collect()
+    assert {(r.article_title, r.content_length): r.prev for r in got} == {("A", 5): None, ("A", 10): 5, ("A", 20): 10, (None, 7): None, (None, 8): 7}
+    assert sequences.first_of_each(df, 1, tasks=5).count() == 2
 
 
-@pytest.mark.parametrize("fanout, levels", [(4096, 2), (4, 3), (2, 1)])
-def test_running_totals(spark, fanout, levels):
+@pytest.mark.parametrize("tasks", [1, 7, 60])
+def test_running_totals(spark, tasks):
     rng = random.Random(8)
-    units = sorted({0.0, 1.0, 0.5, 1e-12, *[round(rng.random(), rng.choice([2, 9])) for _ in range(300)]})
+    units = sorted({0.0, 1.0, 0.5, 1e-12, -3.0, 1e9, *[i * 1e-13 for i in range(2000)], *[round(rng.random(), rng.choice([2, 9])) for _ in range(300)]})
     rows = [(u, rng.randrange(5), rng.randrange(5)) for u in units]
     df = spark.createDataFrame(rows, "u DOUBLE, a BIGINT, b BIGINT").repartition(5)
-    got = {r.u: (r.below_a, r.below_b) for r in sequences.running_totals(df, "u", ["a", "b"], fanout, levels).collect()}
+    got = {r.u: r for r in sequences.running_totals(df, "u", ["a", "b"], tasks).collect()}
     a = b = 0
     for u, x, y in rows:
-        assert got[u] == (a, b)
+        assert (got[u].below_a, got[u].below_b) == (a, b)
         a, b = a + x, b + y
+    assert {(r.all_a, r.all_b) for r in got.values()} == {(a, b)}
+
+
+def test_close_values_are_spread(spark):
+    df = spark.range(10_000).select((F.col("id") * 1e-14).alias("u")).repartition(8)
+    cut = sequences.ranges(df, [F.asc("u")], 20)
+    assert cut.groupBy(sequences._RANGE).count().agg(F.max("count")).first()[0] < 2_000
 
 
 @pytest.mark.parametrize("values", [[0.5], [0.1, 0.2], [0.3, 0.1, 0.2], [0.2] * 5 + [0.9] * 5, [0.1, 0.1, 0.1, 0.7]])
