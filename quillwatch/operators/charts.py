@@ -8,23 +8,17 @@ from pyspark.sql import functions as F
 from quillwatch.functions import TOPICS, display_title, topic_label
 from quillwatch.operators.graph import editor_degree, symmetric_adjacency
 from quillwatch.operators.sequences import running_totals
-from quillwatch.operators.topics import known_topics
+from quillwatch.operators.topics import averages_by_topic, known_topics
 
+# The averages that are drawn.
+CHARTED = ("avg_reversion_rate", "avg_edit_velocity", "avg_unique_editors")
 TOP_EDGES = 200
 LABELLED = 10
 
 
 def topic_chart_stats(features: DataFrame) -> DataFrame:
     """Three averages per topic in display order; a topic without articles has nulls."""
-    stats = (
-        known_topics(features)
-        .groupBy("topic_category")
-        .agg(
-            F.avg("reversion_rate").alias("avg_reversion_rate"),
-            F.avg("edit_velocity").alias("avg_edit_velocity"),
-            F.avg("unique_editors").alias("avg_unique_editors"),
-        )
-    )
+    stats = averages_by_topic(features, CHARTED).drop("article_count")
     ordered = features.sparkSession.createDataFrame(
         list(enumerate(TOPICS)), "display_order INT, topic_category STRING"
     )
@@ -78,14 +72,8 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "stabilit
 
 
 def roc_points(scored: DataFrame, score: str = "score", label: str = "stability_label") -> DataFrame:
-    """One point per distinct score in [0, 1], taken as threshold: the share of negatives and
-    of positives that score at least that much."""
-    counts = score_counts(scored, score, label)
-    pos = counts.agg(F.sum("pos")).scalar()
-    neg = counts.agg(F.sum("neg")).scalar()
-    below = running_totals(counts, "score", ["pos", "neg"])
-    return below.select(
-        F.col("score").alias("threshold"),
-        ((neg - F.col("below_neg")) / F.greatest(neg, F.lit(1))).alias("fpr"),
-        ((pos - F.col("below_pos")) / F.greatest(pos, F.lit(1))).alias("tpr"),
-    )
+    """One point per distinct score, taken as threshold: the share of negatives and of
+    positives that score at least that much."""
+    below = running_totals(score_counts(scored, score, label), "score", ["pos", "neg"])
+    share = lambda c: (F.col(f"all_{c}") - F.col(f"below_{c}")) / F.greatest(f"all_{c}", F.lit(1))
+    return below.select(F.col("score").alias("threshold"), share("neg").alias("fpr"), share("pos").alias("tpr"))

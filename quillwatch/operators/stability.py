@@ -124,7 +124,7 @@ def evaluate(predictions: DataFrame) -> dict[str, float]:
 
 def area_under_roc(scored: DataFrame, score: str = "score", label: str = "stability_label") -> DataFrame:
     """Share of (positive, negative) pairs that the score puts in order, ties counting half,
-    from counts per distinct score in [0, 1]."""
+    from counts per distinct score."""
     below = running_totals(score_counts(scored, score, label), "score", ["neg"])
     won = F.col("pos").cast("double") * (F.col("below_neg") + F.col("neg") / 2)
     counts = below.agg(

@@ -34,14 +34,14 @@ def test_article_metrics(sample):
 
 def test_metrics_do_not_depend_on_slicing(sample):
     whole = features.article_metrics(sample).orderBy("article_title").collect()
-    assert features.article_metrics(sample, busy_rows=1).orderBy("article_title").collect() == whole
+    assert features.article_metrics(sample, tasks=7).orderBy("article_title").collect() == whole
 
 
 def test_gap_median(sample):
     got = {r.article_title: r.median_gap_seconds for r in features.time_between_revisions(sample).collect()}
     gaps = sorted([216_000, 0, 644_400, 3_600])
     assert got == {"A": (gaps[1] + gaps[2]) / 2, "B": None}
-    sliced = features.time_between_revisions(sample, busy_rows=1)
+    sliced = features.time_between_revisions(sample, tasks=7)
     assert {r.article_title: r.median_gap_seconds for r in sliced.collect()} == got
 
 
