@@ -45,11 +45,12 @@ def weeks_per_article(weekly: DataFrame) -> DataFrame:
     return weekly.groupBy("article_title").agg(F.count(F.lit(1)).alias("weeks"))
 
 
-def article_timeline(weekly: DataFrame, target: str) -> DataFrame:
-    """Weeks of ``target``, or of the article with most weeks when ``target`` has none."""
+def article_timeline(weekly: DataFrame, target: str | None = None) -> DataFrame:
+    """Weeks of ``target``, or of the article with most weeks when there is no target or it has
+    no weeks."""
     chosen = (
         weeks_per_article(weekly)
-        .orderBy(F.desc(F.col("article_title") == target), F.desc("weeks"), F.asc("article_title"))
+        .orderBy(F.desc(F.col("article_title").eqNullSafe(F.lit(target))), F.desc("weeks"), F.asc("article_title"))
         .limit(1)
         .select("article_title")
     )

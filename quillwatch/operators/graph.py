@@ -29,13 +29,15 @@ def editor_degree(adjacency: DataFrame) -> DataFrame:
 
 
 def neighbour_lists(adjacency: DataFrame) -> DataFrame:
-    """Sorted neighbours of each editor, in a graph of the top k editors: a list holds at most
-    k - 1 names. Clustering does not use these lists."""
+    """Sorted neighbours of each editor as a list: output of this form for a graph of the top k
+    editors, where a list holds at most k - 1 names. ``symmetric_adjacency`` is the same in long
+    form, for graphs of any size, and what all other operators use."""
     return adjacency.groupBy("editor").agg(F.array_sort(F.collect_set("neighbor")).alias("neighbors"))
 
 
 def edge_neighbours(edges: DataFrame) -> DataFrame:
-    """Both ends' neighbour lists on every edge, in a graph of the top k editors."""
+    """Both ends' neighbour lists on every edge, in a graph of the top k editors. For graphs of
+    any size, ``common_neighbours`` has the counts that come of intersecting them."""
     lists = neighbour_lists(symmetric_adjacency(edges))
     of = lambda side: lists.select(
         F.col("editor").alias(f"editor_{side}"), F.col("neighbors").alias(f"neighbors_{side}")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillwatch.session import materialize
+
 MIN_FILES = 10
 
 
@@ -64,14 +66,62 @@ def outputs_present(tables: dict[str, DataFrame], may_be_empty: tuple[str, ...]
     )
 
 
+def _equal(observed: DataFrame, check, expected: Column) -> DataFrame:
+    """Checks that ``observed`` in each row is as expected."""
+    return observed.select(
+        check.alias("check"), "observed", expected.cast("bigint").alias("expected"),
+        F.coalesce(F.col("observed") == expected, F.lit(False)).alias("passed"),
+    )
+
+
+def unique_key(table: DataFrame, key: str, name: str) -> DataFrame:
+    """No key may stand on two rows."""
+    repeated = table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return _equal(repeated.agg(F.count(F.lit(1)).alias("observed")), F.lit(f"unique:{name}.{key}"), F.lit(0))
+
+
+def readable(totals: DataFrame) -> DataFrame:
+    """No record of a feed may be unreadable. ``totals`` are (dataset, unreadable)."""
+    counts = totals.select("dataset", F.col("unreadable").alias("observed"))
+    return _equal(counts, F.concat(F.lit("readable:"), "dataset"), F.lit(0))
+
+
+def not_silent(totals: DataFrame) -> DataFrame:
+    """No file of a feed may be without any record, as one is that cannot be opened. ``totals``
+    are (dataset, silent_files)."""
+    counts = totals.select("dataset", F.col("silent_files").alias("observed"))
+    return _equal(counts, F.concat(F.lit("not_silent:"), "dataset"), F.lit(0))
+
+
+def keyed(totals: DataFrame) -> DataFrame:
+    """No record of a feed may lack its key. ``totals`` are (dataset, records, keyed_records)."""
+    counts = totals.select("dataset", (F.col("records") - F.col("keyed_records")).alias("observed"))
+    return _equal(counts, F.concat(F.lit("required_field:"), "dataset"), F.lit(0))
+
+
+def complete(totals: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Every record with a key has to be in the clean table. ``cleaned`` are (name, rows), where
+    the name is the dataset's."""
+    both = totals.join(cleaned.withColumnRenamed("name", "dataset"), "dataset", "left")
+    both = both.select("dataset", F.coalesce("rows", F.lit(0)).alias("observed"), "keyed_records")
+    return _equal(both, F.concat(F.lit("complete:"), "dataset"), F.col("keyed_records"))
+
+
+def models_measured(metrics: DataFrame, features: int) -> DataFrame:
+    """Every model needs its three scores and a ranking of all features; ``observed`` counts what is there."""
+    there = lambda c: F.when(F.col(c).isNotNull(), 1).otherwise(0)
+    observed = there("accuracy") + there("auc") + there("f1") + F.coalesce(F.size("feature_importance"), F.lit(0))
+    return _equal(metrics.select("model", observed.cast("bigint").alias("observed")), F.concat(F.lit("model:"), "model"), F.lit(3 + features))
+
+
 def summary(checks: DataFrame) -> DataFrame:
-    """One row per check with its outcome, and the overall tally on each."""
-    failed = F.count_if(~F.col("passed"))
-    tally = checks.agg(F.count(F.lit(1)).alias("total"), failed.alias("failed"))
-    total, failures = tally.select("total").scalar(), tally.select("failed").scalar()
-    return checks.select(
+    """One row per check with its outcome, and the overall tally on each. The checks are
+    evaluated once and written."""
+    written = materialize(checks, "checks")
+    tally = written.agg(F.count(F.lit(1)).alias("total_checks"), F.count_if("passed").alias("passed_checks"))
+    return written.join(F.broadcast(tally)).select(
         "check",
         F.when(F.col("passed"), "PASSED").otherwise("NEEDS ATTENTION").alias("outcome"),
-        (total - failures).alias("passed_checks"),
-        total.alias("total_checks"),
+        "passed_checks",
+        "total_checks",
     )

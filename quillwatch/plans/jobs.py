@@ -8,25 +8,56 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillwatch.operators import (
     charts, cleaning, coediting, episodes, features, graph, quality, stability, topics,
 )
-from quillwatch.sources import raw, sinks
+from quillwatch.session import exists, materialize, scratch
+from quillwatch.sources import raw, replies, sinks
+from quillwatch.streaming import weekly as stream
 
 
 @dataclass
 class Feeds:
     """Paths of the raw inputs: three JSON feeds, and ``topics``, a Parquet table
-    (article_title, topic_category, list_order) of curated titles."""
+    (article_title, topic_category, list_order) of curated titles. ``pretty`` is for JSON
+    documents spread over lines; with ``xml`` the revisions are XML dumps."""
 
     revisions: str
     entities: str
     pageviews: str
     topics: str
+    pretty: bool = False
+    xml: bool = False
+
+    def counted(self) -> dict[str, tuple[str, str]]:
+        """Path and key field of the JSON feeds."""
+        json = {"revisions": (self.revisions, "revid"), "entities": (self.entities, "qid"), "pageviews": (self.pageviews, "views")}
+        return {n: f for n, f in json.items() if not (self.xml and n == "revisions")}
+
+
+FLATTEN = {
+    "revisions": (replies.flatten_revisions, raw.scan_revisions),
+    "entities": (replies.flatten_entities, raw.scan_entities),
+    "pageviews": (replies.flatten_pageviews, raw.scan_pageviews),
+}
+
+
+def add_replies(spark: SparkSession, feeds: Feeds, kind: str, found: DataFrame) -> None:
+    """Flatten API replies (article_title, reply) and append the titles that the feed of this
+    kind does not hold yet."""
+    flatten, scan = FLATTEN[kind]
+    path = getattr(feeds, kind)
+    records = flatten(found)
+    if exists(spark, path):
+        wanted = materialize(cleaning.new_keys(records, scan(spark, path, feeds.pretty)), "new-titles")
+        records = records.join(wanted, "article_title", "left_semi")
+    sinks.write_raw_by_title(records, path, mode="append")
 
 
 def build_features(
@@ -35,17 +66,18 @@ def build_features(
     """Clean tables and per-article features. ``max_revisions`` keeps only that many of the
     oldest revisions per article, as a feed that is fetched with such a cap would."""
     topic_of = cleaning.topic_dimension(spark.read.parquet(feeds.topics))
-    revisions = cleaning.clean_revisions(raw.scan_revisions(spark, feeds.revisions))
+    read = raw.scan_xml_dump(spark, feeds.revisions) if feeds.xml else raw.scan_revisions(spark, feeds.revisions, feeds.pretty)
+    revisions = cleaning.clean_revisions(read)
+    written = {}
     if max_revisions is not None:
-        revisions = cleaning.cap_revisions(
-            sinks.write_parquet(revisions, f"{out}/revisions_uncapped"), max_revisions
-        )
+        written["revisions_uncapped"] = sinks.write_parquet(revisions, f"{out}/revisions_uncapped")
+        revisions = cleaning.cap_revisions(written["revisions_uncapped"], max_revisions)
     tables = {
         "revisions_clean": revisions,
-        "entities_clean": cleaning.clean_entities(raw.scan_entities(spark, feeds.entities), topic_of),
-        "pageviews_clean": cleaning.clean_pageviews(raw.scan_pageviews(spark, feeds.pageviews)),
+        "entities_clean": cleaning.clean_entities(raw.scan_entities(spark, feeds.entities, feeds.pretty), topic_of),
+        "pageviews_clean": cleaning.clean_pageviews(raw.scan_pageviews(spark, feeds.pageviews, feeds.pretty)),
     }
-    written = {name: sinks.write_parquet(t, f"{out}/{name}") for name, t in tables.items()}
+    written |= {name: sinks.write_parquet(t, f"{out}/{name}") for name, t in tables.items()}
     joined = features.join_features(
         features.article_metrics(written["revisions_clean"]),
         written["entities_clean"],
@@ -58,27 +90,25 @@ def build_features(
 
 
 def ingest(spark: SparkSession, feeds: Feeds, out: str) -> DataFrame:
-    """Files and records of each raw feed."""
-    totals = raw.ingest_totals(
-        spark,
-        {
-            "revisions": (feeds.revisions, "revid"),
-            "entities": (feeds.entities, "qid"),
-            "pageviews": (feeds.pageviews, "views"),
-        },
-    )
-    return sinks.write_parquet(totals, f"{out}/ingest_totals")
+    """Per file of each raw feed: records, records with a key, unreadable records. The totals
+    are written beside them."""
+    counts = sinks.write_parquet(raw.feed_counts(spark, feeds.counted(), feeds.pretty), f"{out}/ingest_counts")
+    sinks.write_parquet(raw.totals_of(counts), f"{out}/ingest_totals")
+    return counts
 
 
-def analyse(revisions: DataFrame, article_features: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Co-editing network, edit wars and topic comparison."""
+def analyse(
+    revisions: DataFrame, article_features: DataFrame, out: str, top_editors: int | None = coediting.TOP_EDITORS
+) -> dict[str, DataFrame]:
+    """Co-editing network of the most active editors (None: of all), edit wars and topic
+    comparison."""
     written: dict[str, DataFrame] = {}
 
     def keep(name: str, table: DataFrame) -> DataFrame:
         written[name] = sinks.write_parquet(table, f"{out}/{name}")
         return written[name]
 
-    edges = keep("coediting_edges", coediting.coedit_graph(revisions))
+    edges = keep("coediting_edges", coediting.coedit_graph(revisions, top_editors))
     keep("network_metrics", graph.network_metrics(edges))
     weekly = keep("weekly_edit_stats", episodes.weekly_edit_stats(revisions))
     keep("edit_wars", episodes.edit_wars_by_topic(episodes.edit_wars(weekly), article_features))
@@ -87,21 +117,25 @@ def analyse(revisions: DataFrame, article_features: DataFrame, out: str) -> dict
 
 
 def classify(article_features: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Both classifiers, their predictions on the held-out articles, and their metrics."""
+    """Label distribution, both classifiers, their predictions on the held-out articles, confusion
+    matrices and metrics."""
     spark = article_features.sparkSession
-    vectors = sinks.write_parquet(
-        stability.feature_vectors(stability.with_label(article_features)), f"{out}/feature_vectors"
-    )
+    labelled = stability.with_label(article_features)
+    written = {"label_distribution": sinks.write_parquet(stability.label_distribution(labelled), f"{out}/label_distribution")}
+    vectors = sinks.write_parquet(stability.feature_vectors(labelled), f"{out}/feature_vectors")
     train, test = stability.train_test_split(vectors)
     models = {
         "random_forest": stability.fit_forest(train),
         "logistic_regression": stability.fit_regression(train),
     }
-    written, scores = {}, {}
+    scores = {}
     for name, model in models.items():
         table = f"{name}_predictions"
         written[table] = sinks.write_parquet(stability.predictions_of(model, test), f"{out}/{table}")
         scores[name] = stability.evaluate(written[table])
+        written[f"{name}_confusion"] = sinks.write_parquet(
+            stability.confusion_matrix(written[table]), f"{out}/{name}_confusion"
+        )
     importance = stability.feature_importance(models["random_forest"], spark)
     written["model_metrics"] = sinks.write_metrics(
         stability.model_metrics(scores, importance), f"{out}/model_metrics"
@@ -109,7 +143,7 @@ def classify(article_features: DataFrame, out: str) -> dict[str, DataFrame]:
     return written
 
 
-def chart_tables(tables: dict[str, DataFrame], out: str, timeline_target: str) -> dict[str, DataFrame]:
+def chart_tables(tables: dict[str, DataFrame], out: str, timeline_target: str | None = None) -> dict[str, DataFrame]:
     """What the charts of a report are drawn from."""
     top = charts.top_edges(tables["coediting_edges"])
     drawn = {
@@ -143,48 +177,89 @@ def publish(tables: dict[str, DataFrame], out: str, **connector) -> DataFrame:
     return sinks.publish_documents(spark, collections, f"{out}/documents", **connector)
 
 
-def verify(spark: SparkSession, feeds: Feeds, tables: dict[str, DataFrame]) -> DataFrame:
-    """Checks over raw files and outputs. A failed check is reported as failed."""
-    paths = {"revisions": feeds.revisions, "entities": feeds.entities, "pageviews": feeds.pageviews}
-    checks = (
-        quality.min_files(raw.file_manifest(spark, paths), datasets=list(paths))
-        .unionByName(quality.required_field(raw.scan_revisions(spark, feeds.revisions), "revid"))
-        .unionByName(quality.outputs_present(tables, may_be_empty=("edit_wars",)))
-    )
-    return quality.summary(checks)
+def verify(
+    counts: DataFrame, tables: dict[str, DataFrame], published: DataFrame | None = None, minimum: int = quality.MIN_FILES
+) -> DataFrame:
+    """Checks over the counts of the raw files, the outputs and what was published. The feeds
+    are not read again. A failed check is reported as failed."""
+    totals = materialize(raw.totals_of(counts), "ingest-totals")
+    files = totals.select(F.col("dataset").alias("name"), F.col("files").alias("rows"))
+    clean = {
+        "revisions": tables.get("revisions_uncapped", tables["revisions_clean"]),
+        "entities": tables["entities_clean"],
+        "pageviews": tables["pageviews_clean"],
+    }
+    checks = [
+        quality.at_least(files, "min_files", minimum),
+        quality.keyed(totals),
+        quality.readable(totals),
+        quality.not_silent(totals),
+        quality.complete(totals, quality.table_counts(clean)),
+        quality.unique_key(tables["entities_clean"], "article_title", "entities"),
+        quality.unique_key(clean["revisions"], "revid", "revisions"),
+        quality.outputs_present(tables, may_be_empty=("edit_wars",)),
+    ]
+    if "model_metrics" in tables:
+        checks.append(quality.models_measured(tables["model_metrics"], len(stability.FEATURES)))
+    if published is not None:
+        stored = published.select(F.col("collection").alias("name"), F.col("documents").alias("rows"))
+        checks.append(quality.at_least(stored, "collection", 1))
+    return quality.summary(reduce(DataFrame.unionByName, checks))
 
 
 def run(
     spark: SparkSession,
     feeds: Feeds,
     out: str,
-    timeline_target: str = "Climate_change",
+    timeline_target: str | None = None,
     max_revisions: int | None = None,
+    top_editors: int | None = coediting.TOP_EDITORS,
 ) -> DataFrame:
-    """All steps; returns the outcome of the checks."""
-    ingest(spark, feeds, out)
-    tables = build_features(spark, feeds, out, max_revisions)
-    tables |= analyse(tables["revisions_clean"], tables["article_features"], out)
-    tables |= classify(tables["article_features"], out)
-    tables |= chart_tables(tables, out, timeline_target)
-    publish(tables, out).write.mode("overwrite").parquet(f"{out}/published")
-    return sinks.write_parquet(verify(spark, feeds, tables), f"{out}/checks")
+    """All steps; returns the outcome of the checks. Intermediate tables are deleted."""
+    with scratch(spark):
+        counts = ingest(spark, feeds, out)
+        tables = build_features(spark, feeds, out, max_revisions)
+        tables |= analyse(tables["revisions_clean"], tables["article_features"], out, top_editors)
+        tables |= classify(tables["article_features"], out)
+        tables |= chart_tables(tables, out, timeline_target)
+        published = sinks.write_parquet(publish(tables, out), f"{out}/published")
+        return sinks.write_parquet(verify(counts, tables, published), f"{out}/checks")
+
+
+def follow(spark: SparkSession, feeds: Feeds, out: str) -> DataFrame:
+    """Weekly statistics of the revisions that have come in since the last call, added to
+    those found before; returns all finished weeks."""
+    revisions = cleaning.clean_revisions(raw.stream_revisions(spark, feeds.revisions))
+    return stream.run_available(stream.weekly_edit_stream(revisions), f"{out}/weekly_stream")
 
 
 def main() -> None:
     p = argparse.ArgumentParser(description=__doc__)
     for name in ("revisions", "entities", "pageviews", "topics", "out"):
         p.add_argument(f"--{name}", required=True, help=f"path of the {name} folder")
-    p.add_argument("--timeline", default="Climate_change", help="article of the timeline chart")
+    p.add_argument("--timeline", help="article of the timeline chart; else the one with most weeks")
     p.add_argument("--max-revisions", type=int, help="oldest revisions to keep per article")
+    p.add_argument("--top-editors", type=int, default=coediting.TOP_EDITORS, help="editors in the network, 0 for all")
+    p.add_argument("--pretty", action="store_true", help="JSON documents are spread over lines")
+    p.add_argument("--xml", action="store_true", help="revisions are XML dumps")
+    p.add_argument("--follow", action="store_true", help="only bring the weekly statistics up to date")
+    for kind in FLATTEN:
+        p.add_argument(f"--{kind}-replies", help=f"Parquet table (article_title, reply) to add to the {kind} first")
     a = p.parse_args()
     spark = (
         SparkSession.builder.appName("quillwatch")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    feeds = Feeds(a.revisions, a.entities, a.pageviews, a.topics)
-    run(spark, feeds, a.out, a.timeline, a.max_revisions).show(100, False)
+    feeds = Feeds(a.revisions, a.entities, a.pageviews, a.topics, a.pretty, a.xml)
+    for kind in FLATTEN:
+        if path := getattr(a, f"{kind}_replies"):
+            with scratch(spark):
+                add_replies(spark, feeds, kind, spark.read.parquet(path))
+    if a.follow:
+        follow(spark, feeds, a.out).show(100, False)
+    else:
+        run(spark, feeds, a.out, a.timeline, a.max_revisions, a.top_editors or None).show(100, False)
 
 
 if __name__ == "__main__":

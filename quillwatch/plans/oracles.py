@@ -3,7 +3,7 @@ plans: naive self joins, whole-table windows, correlated counts."""
 
 from __future__ import annotations
 
-from quillwatch.plans.queries import CHECK_REVISION_CAP, CHECK_TOP_EDITORS, TIMELINE_TARGET
+from quillwatch.plans.queries import CHECK_REVISION_CAP, CHECK_TOP_EDITORS, PRESENT_TARGET, TIMELINE_TARGET
 
 ORACLES: dict[str, str] = {}
 
@@ -193,7 +193,10 @@ oracle("cap_revisions", f"""
 oracle("incremental_new_keys", """
   SELECT DISTINCT article_title FROM ent WHERE article_title NOT IN (SELECT article_title FROM rev)""")
 oracle("ingest_counts", """
-  SELECT article_title AS safe_title, count(*) AS records, count(revid) AS keyed_records FROM rev GROUP BY 1""")
+  SELECT '100% ' || article_title || ': why?' AS safe_title, count(*) AS records, count(revid) AS keyed_records,
+         0::BIGINT AS unreadable FROM rev GROUP BY 1""")
+oracle("file_manifest", """
+  SELECT 'titles' AS dataset, sum(octet_length(article_title::BLOB) + 1)::BIGINT AS bytes, true AS files_named FROM rev""")
 oracle("scan_xml_dump", "SELECT * FROM raw_rev")
 
 oracle("sink_parquet", f"SELECT {FEATURE_COLUMNS} FROM features")
@@ -240,6 +243,9 @@ oracle("article_timeline", f"""
     SELECT article_title FROM weekly GROUP BY 1
     ORDER BY article_title = '{TIMELINE_TARGET}' DESC, count(*) DESC, article_title LIMIT 1)""")
 
+oracle("article_timeline_of", f"""
+  SELECT {WEEK_COLUMNS}, 0.3::DOUBLE AS war_threshold FROM weekly WHERE article_title = '{PRESENT_TARGET}'""")
+
 oracle("join_features", f"SELECT {FEATURE_COLUMNS} FROM joined")
 oracle("assign_topic", """
   SELECT article_title, revid, coalesce(topic_category, 'unknown') AS topic_category
@@ -318,6 +324,15 @@ oracle("feature_vector", """
 oracle("train_test_split", """
   SELECT article_title, CASE WHEN ('0x' || substr(md5(article_title), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS part
   FROM ent""")
+for model in ("rf_classifier", "lr_classifier"):
+    oracle(model, """
+  SELECT article_title, stability_label, true AS predicts_the_likelier, true AS adds_up FROM predicted WHERE model = 'first'""")
+oracle("feature_importance", f"""
+  SELECT i::INTEGER AS rank, true AS not_negative, true AS in_order, true AS adds_up, true AS one_feature
+  FROM range(1, {len(VECTOR) + 1}) r(i)""")
+oracle("model_metrics", f"""
+  SELECT model, true AS accuracy_agrees, true AS f1_agrees, true AS auc_agrees, {len(VECTOR)}::INTEGER AS ranked
+  FROM (VALUES ('random_forest'), ('logistic_regression')) m(model)""")
 oracle("probability_list", """
   SELECT article_title, 0::INTEGER AS "class", round(1 - p, 6) AS probability FROM predicted WHERE model = 'first'
   UNION ALL SELECT article_title, 1, round(p, 6) FROM predicted WHERE model = 'first'""")
@@ -348,13 +363,24 @@ oracle("roc_points", """
 oracle("collection_counts", """
   SELECT * FROM outputs UNION ALL SELECT 'total', sum("rows")::BIGINT FROM outputs""")
 oracle("dq_min_files", """
-  SELECT 'min_files:revisions' AS "check", count(DISTINCT article_title) AS observed, 10::BIGINT AS expected,
-         count(DISTINCT article_title) >= 10 AS passed FROM rev""")
+  SELECT 'min_files:revisions' AS "check", 12::BIGINT AS observed, 10::BIGINT AS expected, true AS passed
+  UNION ALL SELECT 'min_files:entities', 3, 10, false
+  UNION ALL SELECT 'min_files:none', 0, 10, false""")
 oracle("dq_required_field", 'SELECT "check", observed, 0::BIGINT AS expected, observed = 0 AS passed FROM field_checks')
 oracle("dq_outputs_present", """
   SELECT 'output:' || name AS "check", "rows" AS observed, 1::BIGINT AS expected, "rows" >= 1 AS passed FROM outputs""")
 oracle("dq_collection_counts", """
   SELECT 'collection:' || name AS "check", "rows" AS observed, 1::BIGINT AS expected, "rows" >= 1 AS passed FROM collections""")
+oracle("dq_unique", """
+  SELECT 'unique:entities.article_title' AS "check", count(*) AS observed, 0::BIGINT AS expected, count(*) = 0 AS passed
+  FROM (SELECT 1 FROM ent GROUP BY article_title HAVING count(*) > 1)
+  UNION ALL SELECT 'unique:revisions.user', count(*), 0, count(*) = 0
+  FROM (SELECT 1 FROM rev GROUP BY "user" HAVING count(*) > 1)""")
+oracle("dq_complete", """
+  SELECT 'complete:revisions' AS "check", count(*) AS observed, count(*) AS expected, true AS passed FROM rev
+  UNION ALL SELECT name || ':revisions', 0, 0, true FROM (VALUES ('required_field'), ('readable'), ('not_silent')) v(name)""")
+oracle("dq_models", f"""
+  SELECT 'model:random_forest' AS "check", {3 + len(VECTOR)}::BIGINT AS observed, {3 + len(VECTOR)}::BIGINT AS expected, true AS passed""")
 oracle("dq_summary", """
   , checks AS (
     SELECT 'output:' || name AS "check", "rows" >= 1 AS passed FROM outputs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillwatch.functions import revert_flag, safe_title
@@ -21,7 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-TIMELINE_TARGET = "Climate_change"
+TIMELINE_TARGET = "No such article"
+PRESENT_TARGET = "A7"
 CHECK_TOP_EDITORS = 50
 CHECK_REVISION_CAP = 50
 
@@ -117,25 +118,38 @@ def _(spark, folder):
     return cleaning.new_keys(b.raw_entities(spark, folder), b.revisions(spark, folder))
 
 
-def _raw_by_title(spark, folder) -> str:
+# Titles with characters that file names and addresses write differently.
+_ODD_TITLE = "100% {}: why?"
+
+
+def _raw_by_title(spark, folder, title: str = "{}") -> str:
     path = fresh_path(spark, "raw")
-    sinks.write_raw_by_title(b.raw_revisions(spark, folder), path)
+    before, after = title.split("{}")
+    records = b.raw_revisions(spark, folder)
+    titled = records.withColumn("article_title", F.concat(F.lit(before), "article_title", F.lit(after)))
+    sinks.write_raw_by_title(titled, path)
     return path
 
 
 @query("ingest_counts")
 def _(spark, folder):
-    counts = raw.ingest_counts(spark, _raw_by_title(spark, folder), "revid")
-    title = F.regexp_extract("file", "safe_title=([^/]+)/", 1)
+    counts = raw.ingest_counts(spark, _raw_by_title(spark, folder, _ODD_TITLE), "revid")
+    # Encoded once as the name of a folder and once more as an address.
+    title = F.url_decode(F.url_decode(F.regexp_extract("file", "safe_title=([^/]+)/", 1)))
     return counts.groupBy(title.alias("safe_title")).agg(
-        F.sum("records").alias("records"), F.sum("keyed_records").alias("keyed_records")
+        F.sum("records").alias("records"), F.sum("keyed_records").alias("keyed_records"), F.sum("unreadable").alias("unreadable")
     )
 
 
 @query("file_manifest")
 def _(spark, folder):
-    manifest = raw.file_manifest(spark, {"revisions": _raw_by_title(spark, folder)})
-    return manifest.groupBy("dataset").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    # Each line is a title and takes one byte more than its text.
+    path = fresh_path(spark, "titles")
+    b.raw_revisions(spark, folder).select(F.col("article_title").alias("value")).write.text(path)
+    manifest = raw.file_manifest(spark, {"titles": path})
+    return manifest.groupBy("dataset").agg(
+        F.sum("length").alias("bytes"), (F.count_distinct("path") == F.count_distinct("file")).alias("files_named")
+    )
 
 
 @query("scan_xml_dump")
@@ -285,6 +299,11 @@ def _(spark, folder):
     return b.table(spark, folder, "pages").select("page_id", safe_title("url").alias("safe_title"))
 
 
+@query("article_timeline_of")
+def _(spark, folder):
+    return episodes.article_timeline(b.weekly(spark, folder), PRESENT_TARGET)
+
+
 @query("article_timeline")
 def _(spark, folder):
     return episodes.article_timeline(b.weekly(spark, folder), TIMELINE_TARGET)
@@ -356,9 +375,7 @@ def _(spark, folder):
 
 @query("editor_diversity")
 def _(spark, folder):
-    return b.article_metrics(spark, folder).select(
-        "article_title", "unique_editors", "total_edits", "editor_diversity"
-    )
+    return features.diversity(b.revisions(spark, folder))
 
 
 @query("length_change")
@@ -505,40 +522,71 @@ def _train_and_test(spark, folder) -> tuple[DataFrame, DataFrame]:
     return stability.train_test_split(stability.feature_vectors(labelled))
 
 
+# A fitted model has no counterpart in SQL. What SQL can state is who is held out, with which
+# label, and what has to hold of every prediction, ranking and score.
+
+
+def _sound_predictions(model, test: DataFrame) -> DataFrame:
+    p = vector_to_array("probability")
+    return stability.predictions_of(model, test).select(
+        "article_title",
+        "stability_label",
+        (F.col("prediction") == F.when(p[1] > p[0], 1.0).otherwise(0.0)).alias("predicts_the_likelier"),
+        (F.abs(p[0] + p[1] - 1) < 1e-9).alias("adds_up"),
+    )
+
+
 @query("rf_classifier")
 def _(spark, folder):
     train, test = _train_and_test(spark, folder)
-    scores = stability.predictions_of(stability.fit_forest(train), test)
-    return scores.withColumn("probability", vector_to_array("probability")).drop("rawPrediction")
+    return _sound_predictions(stability.fit_forest(train), test)
 
 
 @query("lr_classifier")
 def _(spark, folder):
     train, test = _train_and_test(spark, folder)
-    scores = stability.predictions_of(stability.fit_regression(train), test)
-    return scores.withColumn("probability", vector_to_array("probability")).drop("rawPrediction")
+    return _sound_predictions(stability.fit_regression(train), test)
 
 
 @query("feature_importance")
 def _(spark, folder):
     train, _ = _train_and_test(spark, folder)
-    return stability.feature_importance(stability.fit_forest(train), spark)
+    found = materialize(stability.feature_importance(stability.fit_forest(train), spark), "importance")
+    order = Window.orderBy("rank")
+    total = F.sum("importance").over(Window.partitionBy())
+    return found.select(
+        "rank",
+        (F.col("importance") >= 0).alias("not_negative"),
+        (F.col("importance") <= F.coalesce(F.lag("importance").over(order), F.lit(1.0))).alias("in_order"),
+        ((F.abs(total - 1) < 1e-9) | (total == 0)).alias("adds_up"),
+        (F.count(F.when(F.col("feature").isin(*stability.FEATURES), 1)).over(Window.partitionBy("feature")) == 1).alias("one_feature"),
+    )
 
 
 @query("model_metrics")
 def _(spark, folder):
+    """Scores of the evaluators against the same scores by counting."""
     train, test = _train_and_test(spark, folder)
     forest, regression = stability.fit_forest(train), stability.fit_regression(train)
-    scores = {
-        "random_forest": stability.evaluate(stability.predictions_of(forest, test)),
-        "logistic_regression": stability.evaluate(stability.predictions_of(regression, test)),
+    told = {
+        name: materialize(stability.predictions_of(m, test), "predictions")
+        for name, m in (("random_forest", forest), ("logistic_regression", regression))
     }
+    scores = {name: stability.evaluate(p) for name, p in told.items()}
     metrics = stability.model_metrics(scores, stability.feature_importance(forest, spark))
     written = sinks.write_metrics(metrics, fresh_path(spark, "metrics"))
-    ranked = F.posexplode("feature_importance").alias("position", "f")
-    return written.select("model", "accuracy", "auc", "f1", ranked).select(
-        "model", "accuracy", "auc", "f1", "position", "f.feature", "f.importance"
-    )
+    agrees = lambda x, y: F.coalesce(F.abs(F.col(x) - F.col(y)) < 1e-9, F.col(y).isNull())
+    rows = None
+    for name, p in told.items():
+        counted = stability.accuracy_and_f1(p).withColumnsRenamed({"accuracy": "accuracy_", "f1": "f1_"})
+        scored = p.select("stability_label", vector_to_array("rawPrediction")[1].alias("score"))
+        area = stability.area_under_roc(scored).withColumnRenamed("auc", "auc_")
+        one = written.filter(F.col("model") == name).join(counted).join(area).select(
+            "model", agrees("accuracy", "accuracy_").alias("accuracy_agrees"), agrees("f1", "f1_").alias("f1_agrees"),
+            agrees("auc", "auc_").alias("auc_agrees"), F.size("feature_importance").alias("ranked"),
+        )
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 @query("probability_list")
@@ -590,8 +638,11 @@ def _(spark, folder):
 
 @query("dq_min_files")
 def _(spark, folder):
-    manifest = raw.file_manifest(spark, {"revisions": _raw_by_title(spark, folder)})
-    return quality.min_files(manifest, ["revisions"])
+    # The number of files follows from the number of write tasks, whatever the size of the tables.
+    paths = {name: fresh_path(spark, name) for name in ("revisions", "entities")}
+    b.raw_revisions(spark, folder).repartition(12).write.json(paths["revisions"])
+    b.raw_entities(spark, folder).repartition(3).write.json(paths["entities"])
+    return quality.min_files(raw.file_manifest(spark, paths), [*paths, "none"])
 
 
 @query("dq_required_field")
@@ -611,6 +662,33 @@ def _(spark, folder):
     return quality.at_least(counts, "collection", 1)
 
 
+@query("dq_unique")
+def _(spark, folder):
+    return quality.unique_key(b.entities(spark, folder), "article_title", "entities").unionByName(
+        quality.unique_key(b.revisions(spark, folder), "user", "revisions")
+    )
+
+
+@query("dq_complete")
+def _(spark, folder):
+    path = _raw_by_title(spark, folder)
+    totals = materialize(raw.totals_of(raw.feed_counts(spark, {"revisions": (path, "revid")})), "totals")
+    clean = cleaning.clean_revisions(raw.scan_revisions(spark, path))
+    checks = quality.complete(totals, quality.table_counts({"revisions": clean}))
+    for check in (quality.keyed, quality.readable, quality.not_silent):
+        checks = checks.unionByName(check(totals))
+    return checks
+
+
+@query("dq_models")
+def _(spark, folder):
+    train, test = _train_and_test(spark, folder)
+    forest = stability.fit_forest(train)
+    scores = {"random_forest": stability.evaluate(stability.predictions_of(forest, test))}
+    metrics = stability.model_metrics(scores, stability.feature_importance(forest, spark))
+    return quality.models_measured(metrics, len(stability.FEATURES))
+
+
 @query("dq_summary")
 def _(spark, folder):
     records = b.raw_revisions(spark, folder)

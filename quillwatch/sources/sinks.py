@@ -1,4 +1,4 @@
-"""Writers. Every one replaces what was there before."""
+"""Writers. Unless told to append, they replace what was there before."""
 
 from __future__ import annotations
 
@@ -14,13 +14,14 @@ def write_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_raw_by_title(records: DataFrame, path: str) -> None:
+def write_raw_by_title(records: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Raw records as JSON, a folder per title under its file-safe name. Rebalancing gathers a
-    title's rows for few files, and splits a title that is too big for one task."""
+    title's rows for few files, and splits a title that is too big for one task. With ``mode``
+    append, titles that are already there are left alone."""
     (
         records.withColumn("safe_title", safe_title("article_title"))
         .hint("rebalance", "safe_title")
-        .write.mode("overwrite")
+        .write.mode(mode)
         .partitionBy("safe_title")
         .json(path)
     )

@@ -27,3 +27,27 @@ def test_summary_reports_failures(spark):
 def test_a_table_may_be_allowed_to_be_empty(spark):
     checks = quality.outputs_present({"full": spark.range(4), "empty": spark.range(0)}, ("empty",))
     assert rows(checks) == {"output:full": (4, 1, True), "output:empty": (0, 0, True)}
+
+
+def test_keys_and_completeness(spark):
+    table = spark.createDataFrame([("a",), ("a",), ("b",)], "title STRING")
+    assert rows(quality.unique_key(table, "title", "t")) == {"unique:t.title": (1, 0, False)}
+    totals = spark.createDataFrame([("r", 9, 8, 2), ("e", 3, 3, 0)], "dataset STRING, records BIGINT, keyed_records BIGINT, unreadable BIGINT")
+    assert rows(quality.keyed(totals)) == {"required_field:r": (1, 0, False), "required_field:e": (0, 0, True)}
+    assert rows(quality.readable(totals)) == {"readable:r": (2, 0, False), "readable:e": (0, 0, True)}
+    clean = spark.createDataFrame([("r", 8)], "name STRING, rows BIGINT")
+    assert rows(quality.complete(totals, clean)) == {"complete:r": (8, 8, True), "complete:e": (0, 3, False)}
+    metrics = spark.createDataFrame([("m", 0.5, None, 0.1, ["x"])], "model STRING, accuracy DOUBLE, auc DOUBLE, f1 DOUBLE, feature_importance ARRAY<STRING>")
+    assert rows(quality.models_measured(metrics, 1)) == {"model:m": (3, 4, False)}
+
+
+def test_checks_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    table = spark.range(10, numPartitions=1).mapInArrow(look, "id BIGINT")
+    assert quality.summary(quality.required_field(table, "id")).count() == 1 and seen.value == 10

@@ -46,8 +46,8 @@ def test_ingest_counts(spark, tmp_path):
     write(tmp_path, "object.json", record(3))
     write(tmp_path, "broken.json", "[{\"revid\": 1}, {")
     write(tmp_path, "empty.json", "[]")
-    got = {r.file.rsplit("/", 1)[1]: (r.records, r.keyed_records) for r in raw.ingest_counts(spark, str(tmp_path), "revid").collect()}
-    assert got == {"array.json": (3, 2), "object.json": (1, 1), "broken.json": (0, 0), "empty.json": (0, 0)}
+    got = {r.file.rsplit("/", 1)[1]: (r.records, r.keyed_records, r.unreadable) for r in raw.ingest_counts(spark, str(tmp_path), "revid").collect()}
+    assert got == {"array.json": (3, 2, 0), "object.json": (1, 1, 0), "broken.json": (0, 0, 1), "empty.json": (0, 0, 0)}
     totals = raw.ingest_totals(spark, {"revisions": (str(tmp_path), "revid")}).first()
     assert tuple(totals) == ("revisions", 4, 4)
     manifest = raw.file_manifest(spark, {"revisions": str(tmp_path)})
@@ -106,6 +106,48 @@ def test_xml_dump(spark, tmp_path):
     ]
 
 
+def test_scan_manifest_and_counts_see_the_same_files(spark, tmp_path):
+    import gzip
+
+    names = ["with space.json", "pct%20x.json", "é_ü.json", "a+b&c.json", "que?ry.json", "other.txt"]
+    for name in names:
+        write(tmp_path, name, [record(1), record(2)])
+    write(tmp_path / "nested" / "deeper", "n.json", record(3))
+    (tmp_path / "z.json.gz").write_bytes(gzip.compress(json.dumps(record(4)).encode()))
+    write(tmp_path, "_hidden.json", record(5))
+    counts = {r.file: r.records for r in raw.ingest_counts(spark, str(tmp_path), "revid").collect()}
+    manifest = raw.file_manifest(spark, {"r": str(tmp_path)}).collect()
+    assert sorted(counts.values()) == [1, 1] + [2] * 6
+    assert {m.file for m in manifest} == set(counts) and len(manifest) == 8
+    assert raw.scan_revisions(spark, str(tmp_path)).count() == sum(counts.values())
+
+
+def test_titles_that_need_escaping_are_counted(spark, tmp_path):
+    titles = ["A: B?", "100% x", "Two words", "Plain", "a/b"]
+    df = spark.createDataFrame([(t, i) for t in titles for i in range(3)], "article_title STRING, revid BIGINT")
+    sinks.write_raw_by_title(df, str(tmp_path / "raw"))
+    assert [r.records for r in raw.ingest_counts(spark, str(tmp_path / "raw"), "revid").collect()] == [3] * 5
+
+
+def test_a_large_page_is_read_in_splits(spark, tmp_path):
+    page = lambda title, number, ids: f"<page><title>{title}</title><ns>0</ns><id>{number}</id>" + "".join(
+        f"<revision><id>{i}</id><timestamp>t</timestamp><contributor><ip>x</ip></contributor><text bytes=\"9\">{'y' * 60} &lt;page&gt;</text></revision>\n" for i in ids
+    ) + "</page>\n"
+    body = "<mediawiki>" + page("First &amp; one", 1, range(5)) + page("Giant", 2, range(100, 3100)) + page("None", 3, []) + page("Last", 4, range(9000, 9003)) + "</mediawiki>"
+    write(tmp_path, "dump.xml", body)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "20KB")
+    try:
+        df = raw.scan_xml_dump(spark, str(tmp_path))
+        assert spark.read.option("lineSep", "</revision>").text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = df.collect()
+    finally:
+        spark.conf.set(setting, before)
+    expected = {i: ("First_&_one", 1) for i in range(5)} | {i: ("Giant", 2) for i in range(100, 3100)} | {i: ("Last", 4) for i in range(9000, 9003)}
+    assert {r.revid: (r.article_title, r.pageid) for r in got} == expected and len(got) == len(expected)
+
+
 def test_raw_by_title_replaces_and_survives_odd_names(spark, tmp_path):
     target = str(tmp_path / "raw")
     df = spark.createDataFrame([("AC/DC", 1), ("AC/DC", 2), ("B", 3)], "article_title STRING, revid BIGINT")
