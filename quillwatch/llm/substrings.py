@@ -81,7 +81,7 @@ def _packed(keys: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
 
 
 def anchors(keyed: DataFrame, window: int, repeated: bool, text_column: str) -> DataFrame:
-    """Anchors at cover positions: the first of each kind in a megabyte, as (hash, key, place); or, with
+    """Anchors at cover positions: the first of each kind in a megabyte, as (hash, place, key); or, with
     ``repeated``, those that occur more than once in it, as (key, places)."""
     period = period_of(window)
     length = window - period + 1
@@ -95,33 +95,34 @@ def anchors(keyed: DataFrame, window: int, repeated: bool, text_column: str) ->
                 n = len(hashes)
                 doc = np.repeat(np.arange(len(sizes)), sizes)[:n]
                 chosen = np.flatnonzero(in_cover[place[:n] % period] & inside(begins, len(words), length) & (sizes[doc] >= window))
-                kinds, first, kind, counts = np.unique(hashes[chosen], return_index=True, return_inverse=True, return_counts=True)
+                _, first, kind, counts = np.unique(hashes[chosen], return_index=True, return_inverse=True, return_counts=True)
                 if repeated:
                     some = chosen[counts[kind] > 1]
                     yield _packed(keys[doc[some]], place[some])
                 else:
-                    some = chosen[first]
-                    yield _batch(hash=kinds.view(np.int64), key=keys[doc[some]], place=place[some].astype(np.int32))
+                    # In the order of the texts and with the key last, neighbouring rows of a shuffle differ little.
+                    some = np.sort(chosen[first])
+                    yield _batch(hash=hashes[some].view(np.int64), place=place[some].astype(np.int32), key=keys[doc[some]])
 
-    schema = "key long, places array<int>" if repeated else "hash long, key long, place int"
+    schema = "key long, places array<int>" if repeated else "hash long, place int, key long"
     return keyed.select("__key", text_column).mapInArrow(run, schema)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int, later_only: bool) -> Iterator[pa.RecordBatch]:
-    """Of sorted rows that end in key and place: those whose leading ``keys`` columns another row shares, packed;
+def _runs(batches: Iterator[pa.RecordBatch], later_only: bool) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows (hash, place, key) or (hash, placed, key): those whose hash and check another row shares;
     with ``later_only`` without the first row of each run and what equals it."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size, carried, told = 0, None, False
+    carried, told = None, False
     for batch in batches:
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if not len(columns[0]):
+        if not batch.num_rows:
             continue
+        found, placed, key = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        whole = placed.dtype == np.int64
+        place, check = (placed >> 32, placed & 0xFFFFFFFF) if whole else (placed, np.zeros(len(placed), dtype=np.int64))
+        columns = [found, check, place, key]
         if carried is not None:
             columns = [np.append(x, c) for x, c in zip(carried, columns)]
-        same = np.ones(len(columns[0]) - 1, dtype=bool)
-        for c in columns[:keys]:
-            same &= c[1:] == c[:-1]
-        key, place = columns[keys], columns[keys + 1]
+        found, check, place, key = columns
+        same = (found[1:] == found[:-1]) & (check[1:] == check[:-1])
         if later_only:
             start = np.maximum.accumulate(np.where(np.append(False, same), 0, np.arange(len(key))))
             wanted = (key != key[start]) | (place != place[start])
@@ -130,30 +131,21 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int, later_only: bool) -> Ite
             wanted = np.append(False, same) | np.append(same, False)
             last_told, wanted[0] = bool(wanted[-1]), wanted[0] and not told
             carried, told = [c[[-1]] for c in columns], last_told
-        held.append((key[wanted], place[wanted]))
-        size += int(wanted.sum())
-        if size > 1 << 20:
-            yield _packed(*map(np.concatenate, zip(*held)))
-            held, size = [], 0
-    if size:
-        yield _packed(*map(np.concatenate, zip(*held)))
+        yield _batch(key=key[wanted], place=place[wanted].astype(np.int32))
 
 
-def _gathered(packed: DataFrame) -> DataFrame:
-    return packed.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("places"))
-
-
-def shared_anchors(keyed: DataFrame, window: int = WINDOW, text_column: str = "text") -> DataFrame:
-    """(key, places): where a document has an anchor that occurs more than once."""
+def shared_anchors(keyed: DataFrame, window: int = WINDOW, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Where a document has an anchor that occurs more than once: (key, places) from the anchors shared between
+    megabytes of text, and from those inside one."""
     seen = anchors(keyed, window, False, text_column)
     seen = seen.repartition("hash").sortWithinPartitions("hash")
-    spread = seen.mapInArrow(lambda batches: _runs(batches, 1, later_only=False), "key long, places array<int>")
-    return _gathered(spread.unionByName(anchors(keyed, window, True, text_column)))
+    spread = seen.mapInArrow(lambda batches: _runs(batches, later_only=False), "key long, place int")
+    return _gathered(spread, anchors(keyed, window, True, text_column))
 
 
 def candidate_windows(near: DataFrame, window: int, repeated: bool, text_column: str) -> DataFrame:
     """Windows around shared anchors, whose places ``near`` has in __places: the earliest of each kind in a megabyte, as
-    (hash, check, key, place); or, with ``repeated``, the others, as (key, places)."""
+    (hash, placed, key), placed being the place and 32 bits of a second hash; or, with ``repeated``, the others, as (key, places)."""
     period = period_of(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +164,7 @@ def candidate_windows(near: DataFrame, window: int, repeated: bool, text_column:
                 n = max(0, len(words) - window + 1)
                 chosen = np.flatnonzero((np.cumsum(marks)[:n] > 0) & inside(begins, len(words), window))
                 hashes = windows(words, window)[chosen]
-                checks = (windows(words, window, _CHECK_SEED)[chosen] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                checks = (windows(words, window, _CHECK_SEED)[chosen] >> np.uint64(32)).astype(np.uint32)
                 doc = np.repeat(np.arange(len(keys)), np.diff(begins))[:n][chosen]
                 key, spot = keys[doc], place[:n][chosen].astype(np.int32)
                 order = np.lexsort((spot, key, checks, hashes))
@@ -184,26 +176,38 @@ def candidate_windows(near: DataFrame, window: int, repeated: bool, text_column:
                     later = (key[order] != key[first]) | (spot[order] != spot[first])
                     yield _packed(key[order][later], spot[order][later])
                 else:
-                    some = order[new]
-                    yield _batch(hash=hashes[some].view(np.int64), check=checks[some], key=key[some], place=spot[some])
+                    some = np.sort(order[new])
+                    placed = (spot[some].astype(np.int64) << 32) | checks[some].astype(np.int64)
+                    yield _batch(hash=hashes[some].view(np.int64), placed=placed, key=key[some])
 
-    schema = "key long, places array<int>" if repeated else "hash long, check int, key long, place int"
+    schema = "key long, places array<int>" if repeated else "hash long, placed long, key long"
     return near.mapInArrow(run, schema)
 
 
-def _placed(keyed: DataFrame, places: DataFrame) -> DataFrame:
-    """keyed with __places. The same left join of the same columns each time, so Spark deals out the texts once."""
-    places = places.select(F.col("key").alias("__at"), F.col("places").alias("__places"))
-    return keyed.join(places, F.col("__key") == F.col("__at"), "left").drop("__at")
+def _gathered(spread: DataFrame, packed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (
+        spread.groupBy("key").agg(F.collect_list("place").alias("places")),
+        packed.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("places")),
+    )
+
+
+def _placed(keyed: DataFrame, places: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """keyed with __places. The same left joins of the same columns each time, so Spark deals out the texts once."""
+    for i, some in enumerate(places):
+        some = some.select(F.col("key").alias(f"__at{i}"), F.col("places").alias(f"__places{i}"))
+        keyed = keyed.join(some, F.col("__key") == F.col(f"__at{i}"), "left").drop(f"__at{i}")
+    both = F.concat(*[F.coalesce(f"__places{i}", F.array().cast("array<int>")) for i in range(2)])
+    return keyed.withColumn("__places", both).drop("__places0", "__places1")
 
 
-def repeated_windows(keyed: DataFrame, window: int = WINDOW, text_column: str = "text") -> DataFrame:
-    """(key, places): where windows start whose words also start earlier."""
+def repeated_windows(keyed: DataFrame, window: int = WINDOW, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Where windows start whose words also start earlier: (key, places) twice, as in ``shared_anchors``."""
     near = _placed(keyed, shared_anchors(keyed, window, text_column))
     seen = candidate_windows(near, window, False, text_column)
-    seen = seen.repartition("hash").sortWithinPartitions("hash", "check", "key", "place")
-    later = seen.mapInArrow(lambda batches: _runs(batches, 2, later_only=True), "key long, places array<int>")
-    return _gathered(later.unionByName(candidate_windows(near, window, True, text_column)))
+    check = F.col("placed").bitwiseAND(F.lit(0xFFFFFFFF))
+    seen = seen.repartition("hash").sortWithinPartitions("hash", check, "key", "placed")
+    later = seen.mapInArrow(lambda batches: _runs(batches, later_only=True), "key long, place int")
+    return _gathered(later, candidate_windows(near, window, True, text_column))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -218,7 +222,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
             for text, places in zip(texts, batch.column("__places").slice(at, len(texts))):
                 words = text.split()
                 goes = np.zeros(len(words) + 1, dtype=np.int32)
-                if places.is_valid:
+                if len(places):
                     starts = np.unique(places.values.to_numpy())
                     starts = starts[starts + window <= len(words)]
                     goes[starts] += 1
