@@ -575,16 +575,15 @@ def _(spark, folder):
     scores = {name: stability.evaluate(p) for name, p in told.items()}
     metrics = stability.model_metrics(scores, stability.feature_importance(forest, spark))
     written = sinks.write_metrics(metrics, fresh_path(spark, "metrics"))
-    agrees = lambda x, y: F.coalesce(F.abs(F.col(x) - F.col(y)) < 1e-9, F.col(y).isNull())
     rows = None
     for name, p in told.items():
-        counted = stability.accuracy_and_f1(p).withColumnsRenamed({"accuracy": "accuracy_", "f1": "f1_"})
         scored = p.select("stability_label", vector_to_array("rawPrediction")[1].alias("score"))
-        area = stability.area_under_roc(scored).withColumnRenamed("auc", "auc_")
-        one = written.filter(F.col("model") == name).join(counted).join(area).select(
-            "model", agrees("accuracy", "accuracy_").alias("accuracy_agrees"), agrees("f1", "f1_").alias("f1_agrees"),
-            agrees("auc", "auc_").alias("auc_agrees"), F.size("feature_importance").alias("ranked"),
-        )
+        counted = {c: stability.accuracy_and_f1(p).select(c).scalar() for c in ("accuracy", "f1")}
+        counted["auc"] = stability.area_under_roc(scored).scalar()
+        agrees = [
+            F.coalesce(F.abs(F.col(c) - value) < 1e-9, value.isNull()).alias(f"{c}_agrees") for c, value in counted.items()
+        ]
+        one = written.filter(F.col("model") == name).select("model", *agrees, F.size("feature_importance").alias("ranked"))
         rows = one if rows is None else rows.unionByName(one)
     return rows
 

@@ -47,6 +47,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(jvm_path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    files, jvm_path = _file_system(spark, path)
+    files.delete(jvm_path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables written inside the block are deleted at its end. What is needed
@@ -56,10 +61,9 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _OPEN.remove(paths)
+        _OPEN.pop()
         for path in paths:
-            files, jvm_path = _file_system(spark, path)
-            files.delete(jvm_path, True)
+            delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
