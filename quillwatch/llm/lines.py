@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,6 +126,19 @@ class LineStore:
     shards: int
 
 
+def save(store: LineStore, path: str) -> None:
+    """Keep the store under ``path``, which must not hold one yet; each state of it is a folder of its own."""
+    spark = store.refs.sparkSession
+    for name in ("postings", "refs", "filters"):
+        getattr(store, name).write.parquet(f"{path}/{name}")
+    spark.range(1).select(F.lit(store.shards).alias("shards")).write.parquet(f"{path}/shards")
+
+
+def load(spark: SparkSession, path: str) -> LineStore:
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    return LineStore(read("postings"), read("refs"), read("filters"), read("shards").first()[0])
+
+
 def postings_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(key, doc_id) of every line that counts, once per document."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quillwatch.llm.components import components
 from quillwatch.llm.tables import free_name
-from quillwatch.llm.text import text_rows
+from quillwatch.llm.text import mix, text_rows
 from quillwatch.session import materialize
 
 SEED = 42
@@ -40,7 +40,7 @@ DISTANCE = 4
 WORDS = 4
 _STEP = 255  # hashes whose bits are counted in bytes
 _MEMBERS = 4096  # filed fingerprints of an entry that meet in one task
-_LOOKUP_COST, _MEETING_COST = 40, 1
+_LOOKUP_COST, _MEETING_COST = 300, 1
 
 _SPREAD = np.zeros(256, dtype=np.uint64)
 for _byte in range(256):
@@ -63,27 +63,30 @@ def shingle_hashes(text: bytes, k: int) -> Iterator[np.ndarray]:
         yield np.array([hashed(joined[s:e], SEED) for s, e in some], dtype=np.uint64)
 
 
-def fingerprint(text: bytes, k: int = WORDS) -> int:
-    counts, n = np.zeros(64, dtype=np.int64), 0
+def fingerprint(text: bytes, k: int = WORDS, again: bool = False) -> tuple[int, int]:
+    """The 64 bits, and with ``again`` 64 more from the hashes of the hashes (else 0)."""
+    counts, n = np.zeros((2, 64), dtype=np.int64), 0
     for hashes in shingle_hashes(text, k):
         n += len(hashes)
-        spread = _SPREAD[hashes.astype("<u8").view(np.uint8).reshape(-1, 8)]
-        sums = np.add.reduceat(spread, np.arange(0, len(hashes), _STEP), axis=0)
-        counts += sums.astype("<u8").view(np.uint8).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int(sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist()))
+        for i, some in enumerate((hashes, mix(hashes)) if again else (hashes,)):
+            spread = _SPREAD[some.astype("<u8").view(np.uint8).reshape(-1, 8)]
+            sums = np.add.reduceat(spread, np.arange(0, len(some), _STEP), axis=0)
+            counts[i] += sums.astype("<u8").view(np.uint8).reshape(-1, 64).sum(0, dtype=np.int64)
+    return tuple(sum(1 << i for i in np.flatnonzero(2 * c > n).tolist()) for c in counts)
 
 
-def fingerprints(docs: DataFrame, k: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, fp) per document, fp being the 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, k: int = WORDS, id_column: str = "doc_id", text_column: str = "text", again: bool = False) -> DataFrame:
+    """(doc_id, fp, fp2) per document, the bits as signed numbers."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in text_rows(batch, "text"):
-                found = np.array([fingerprint(t, k) for t in texts], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(found)], names=["doc_id", "fp"])
+                found = np.array([fingerprint(t, k, again) for t in texts], dtype=np.uint64).view(np.int64)
+                ids = batch.column("doc_id").slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(found[:, 0]), pa.array(found[:, 1])], names=["doc_id", "fp", "fp2"])
 
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp long, fp2 long")
 
 
 def cut(segments: int, distance: int) -> list[tuple[int, int, int]]:
@@ -100,11 +103,12 @@ def ball_size(bits: int, radius: int) -> int:
 
 
 def plan(n: int, distance: int) -> list[tuple[int, int, int]]:
-    """The cut that costs n fingerprints the least in look-ups and expected chance meetings."""
+    """The cut that costs n fingerprints the least in look-ups and expected chance meetings, of those that enumerate a
+    ball in segments of a dozen bits or more. It changes only beyond some 18 million distinct fingerprints."""
     def cost(segments: list[tuple[int, int, int]]) -> float:
         return sum(ball_size(bits, r) * (_LOOKUP_COST + _MEETING_COST * n / 2**bits) for _, bits, r in segments)
 
-    return min((cut(m, distance) for m in range(2, distance + 2)), key=cost)
+    return min((cut(m, distance) for m in range(2, min(max(2, distance), 5) + 1)), key=cost)
 
 
 def masks(bits: int, radius: int) -> np.ndarray:
@@ -113,33 +117,36 @@ def masks(bits: int, radius: int) -> np.ndarray:
 
 
 def entries(fps: DataFrame, segments: list[tuple[int, int, int]]) -> DataFrame:
-    """(segment, value, fp, filed): where a fingerprint is filed, and where it is looked up besides."""
+    """(segment, value, fp, fp2, filed): where a fingerprint is filed, and where it is looked up besides."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        balls = [masks(bits, radius) for _, bits, radius in segments]
+        rows = max(1, (1 << 18) // max(map(len, balls)))
         for batch in batches:
-            some = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for part in np.array_split(some, max(1, len(some) // 2048)):
-                for i, (first, bits, radius) in enumerate(segments):
-                    around = masks(bits, radius)
+            some = np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns], axis=1)
+            for part, second in (x.T for x in np.array_split(some, -(-len(some) // rows) or 1)):
+                for i, ((first, bits, _), around) in enumerate(zip(segments, balls)):
                     value = (part >> np.uint64(first)) & np.uint64((1 << bits) - 1)
                     values = (value[:, None] ^ around).ravel()
                     filed = np.zeros(len(values), dtype=bool)
                     filed[:: len(around)] = True
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(values), i, dtype=np.int32)), pa.array(values.view(np.int64)),
-                         pa.array(np.repeat(part, len(around)).view(np.int64)), pa.array(filed)],
-                        names=["segment", "value", "fp", "filed"],
+                         *(pa.array(np.repeat(x, len(around)).view(np.int64)) for x in (part, second)), pa.array(filed)],
+                        names=["segment", "value", "fp", "fp2", "filed"],
                     )
 
-    return fps.select("fp").mapInArrow(run, "segment int, value long, fp long, filed boolean")
+    return fps.select("fp", "fp2").mapInArrow(run, "segment int, value long, fp long, fp2 long, filed boolean")
 
 
-def forest_links(filed: np.ndarray, others: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
-    """Links between filed fingerprints and all that are looked up with them, reduced to a spanning forest."""
+def forest_links(fp: np.ndarray, fp2: np.ndarray, at_home: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
+    """Links between the fingerprints filed here and all that are looked up with them, reduced to a spanning forest."""
+    filed, filed2, others = fp[at_home], fp2[at_home], fp
     nodes = np.unique(np.concatenate([filed, others]))
     labels, place, home = np.arange(len(nodes)), np.searchsorted(nodes, others), np.searchsorted(nodes, filed)
     rows = max(1, (1 << 20) // max(1, len(filed)))
     for at in range(0, len(others), rows):
-        near = np.bitwise_count(others[at : at + rows, None] ^ filed) <= distance
+        apart = np.bitwise_count(others[at : at + rows, None] ^ filed)
+        near = apart + np.bitwise_count(fp2[at : at + rows, None] ^ filed2) <= distance
         for i in np.flatnonzero(near.any(1)):
             mine, there = labels[place[at + i]], home[near[i]]
             joined, which = np.unique(labels[there], return_index=True)
@@ -151,29 +158,33 @@ def forest_links(filed: np.ndarray, others: np.ndarray, distance: int) -> Iterat
             labels[np.isin(labels, joined) | (labels == mine)] = min(mine, joined[0])
 
 
-def link_fingerprints(fps: DataFrame, distance: int = DISTANCE, segments: list[tuple[int, int, int]] | None = None) -> DataFrame:
-    """(a, b): links between distinct fingerprints, enough of them to connect all that are connected."""
+def link_fingerprints(fps: DataFrame, distance: int = DISTANCE, segments: list[tuple[int, int, int]] | None = None, most: int | None = None) -> DataFrame:
+    """(a, b): links between distinct fingerprints (fp, fp2), enough of them to connect all that are connected.
+
+    All that differ in at most ``distance`` bits of fp meet. Those that meet link where at most ``most`` bits of
+    both numbers differ (default: ``distance``, fp2 being 0)."""
     segments = segments or plan(fps.count(), distance)
+    most = distance if most is None else most
     found = materialize(entries(fps, segments), "entries")
     # An entry with many filed members is cut into blocks of them; whoever looks there visits every block.
     large = found.where("filed").groupBy("segment", "value").agg(F.count("*").alias("n")).where(F.col("n") > _MEMBERS)
     large = large.select("segment", "value", F.ceil(F.col("n") / _MEMBERS).cast("int").alias("blocks"))
     found = found.join(large, ["segment", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.when(F.col("filed"), F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).otherwise(-1)
-    found = found.select("segment", "value", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    found = found.select("segment", "value", "fp", "fp2", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     found = found.repartition("segment", "value", "block").sortWithinPartitions("segment", "value", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, columns in groups(batches, 3):
-            fp, at = columns[0].view(np.uint64), columns[1]
-            filed, others = fp[at == keys[2]], fp
-            if len(filed) and len(others) > 1:
-                links = list(forest_links(filed, others, distance))
+            fp, fp2, own = columns[0].view(np.uint64), columns[1].view(np.uint64), columns[2]
+            at_home = own == keys[2]
+            if len(fp) > 1 and at_home.any():
+                links = list(forest_links(fp, fp2, at_home, most))
                 if links:
                     a, b = (pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in zip(*links))
                     yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
-    return found.select("segment", "value", "block", "fp", "own").mapInArrow(run, "a long, b long")
+    return found.select("segment", "value", "block", "fp", "fp2", "own").mapInArrow(run, "a long, b long")
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[np.ndarray]]]:
@@ -199,7 +210,7 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple
 def classes(docs: DataFrame, k: int = WORDS, distance: int = DISTANCE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) per document."""
     marked = materialize(fingerprints(docs, k, id_column, text_column), "fingerprints")
-    fps = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
+    fps = materialize(marked.groupBy("fp", "fp2").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
     roots = materialize(components(link_fingerprints(fps, distance)), "roots")
     fps = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     firsts = fps.groupBy("root").agg(F.min("first_doc").alias("component_id"))
@@ -237,24 +248,26 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def drop_near_copies(docs: DataFrame, k: int = 5, distance: int = 7, least: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, k: int = 5, distance: int = 9, most: int = 28, least: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without near copies of a smaller one, with their columns.
 
-    Fingerprints within ``distance`` bits propose pairs: a document with the smallest one of its fingerprint, those
-    of two linked fingerprints, and those of a fingerprint and of its component. Pairs whose texts have at least
+    All fingerprints within ``distance`` of 64 bits meet, and many that are farther apart; those that meet and differ
+    in at most ``most`` of 128 bits propose pairs: a document with the smallest one of its fingerprint, those of two
+    linked fingerprints, and those of a fingerprint and of its component. Pairs whose texts have at least
     this similarity link; of each group of linked documents the one with the smallest id stays. Rows with a null
     id are told apart by their texts and come first; rows that repeat an id share its fate."""
     key = free_name(docs, "key")
     unnamed = F.lit(-(2**62)) - F.pmod(F.xxhash64(text_column), F.lit(2**61))
     keyed = docs.withColumn(key, F.coalesce(F.col(id_column).cast("long"), unnamed))
     texts = keyed.select(F.col(key).alias("key"), F.col(text_column).alias("text"))
-    marked = fingerprints(texts, k, "key").withColumnRenamed("doc_id", "key").distinct()
+    marked = fingerprints(texts, k, "key", again=True).withColumnRenamed("doc_id", "key").distinct()
     marked = materialize(marked, "fingerprints")
-    fps = materialize(marked.groupBy("fp").agg(F.min("key").alias("first")), "distinct-fingerprints")
-    links = materialize(link_fingerprints(fps, distance), "fingerprint-links")
+    fps = marked.groupBy("fp").agg(F.min("key").alias("first"), F.min_by("fp2", "key").alias("fp2"))
+    fps = materialize(fps, "distinct-fingerprints")
+    links = materialize(link_fingerprints(fps, distance, most=most), "fingerprint-links")
     roots = components(links).join(fps, F.col("node") == F.col("fp"))
     roots = materialize(roots.select("root", "first"), "roots")
-    copies = marked.join(fps, "fp").select(F.col("key").alias("a"), F.col("first").alias("b"))
+    copies = marked.join(fps.drop("fp2"), "fp").select(F.col("key").alias("a"), F.col("first").alias("b"))
     firsts = roots.groupBy("root").agg(F.min("first").alias("b"))
     stars = roots.join(firsts, "root").select(F.col("first").alias("a"), "b")
     named = fps.select(F.col("fp").alias("a"), F.col("first").alias("first_a")), fps.select(F.col("fp").alias("b"), F.col("first").alias("first_b"))
