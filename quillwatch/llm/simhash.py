@@ -172,7 +172,7 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE, segments: list[t
     found = found.join(large, ["segment", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.when(F.col("filed"), F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).otherwise(-1)
     found = found.select("segment", "value", "fp", "fp2", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    found = found.repartition("segment", "value", "block").sortWithinPartitions("segment", "value", "block")
+    found = found.repartition("segment", "value", "block").sortWithinPartitions("segment", "value", "block", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, columns in groups(batches, 3):
