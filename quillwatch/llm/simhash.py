@@ -20,6 +20,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -40,6 +41,7 @@ DISTANCE = 4
 WORDS = 4
 _STEP = 255  # hashes whose bits are counted in bytes
 _MEMBERS = 4096  # filed fingerprints of an entry that meet in one task
+_ENTRY = 16_384  # the same where all are filed under all values they are looked up by
 _LOOKUP_COST, _MEETING_COST = 300, 1
 
 _SPREAD = np.zeros(256, dtype=np.uint64)
@@ -63,6 +65,17 @@ def shingle_hashes(text: bytes, k: int) -> Iterator[np.ndarray]:
         yield np.array([hashed(joined[s:e], SEED) for s, e in some], dtype=np.uint64)
 
 
+def majority(kinds: list[np.ndarray]) -> tuple[int, ...]:
+    """Per array of hashes: the bits that more than half of them have."""
+    out = []
+    for some in kinds:
+        spread = _SPREAD[some.astype("<u8").view(np.uint8).reshape(-1, 8)]
+        sums = np.add.reduceat(spread, np.arange(0, len(some), _STEP), axis=0) if len(some) else spread
+        counts = sums.astype("<u8").view(np.uint8).reshape(-1, 64).sum(0, dtype=np.int64)
+        out.append(sum(1 << i for i in np.flatnonzero(2 * counts > len(some)).tolist()))
+    return tuple(out)
+
+
 def fingerprint(text: bytes, k: int = WORDS, again: bool = False) -> tuple[int, int]:
     """The 64 bits, and with ``again`` 64 more from the hashes of the hashes (else 0)."""
     counts, n = np.zeros((2, 64), dtype=np.int64), 0
@@ -248,36 +261,168 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def drop_near_copies(docs: DataFrame, k: int = 5, distance: int = 9, most: int = 28, least: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def set_fingerprints(texts: DataFrame, k: int) -> DataFrame:
+    """(key, fp, fp2, size, digest) of (key, text): all from the text's set of shingles, however often it repeats them.
+    Equal digests are equal sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, some in text_rows(batch, "text"):
+                sets = [shingle_set(t, k) for t in some]
+                found = np.array([majority([x, mix(x)]) for x in sets], dtype=np.uint64).view(np.int64)
+                digests = [hashlib.blake2b(x.astype("<u8").tobytes(), digest_size=16).digest() for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").slice(at, len(some)), pa.array(found[:, 0]), pa.array(found[:, 1]),
+                     pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary())],
+                    names=["key", "fp", "fp2", "size", "digest"],
+                )
+
+    return texts.mapInArrow(run, "key long, fp long, fp2 long, size long, digest binary")
+
+
+def meetings(elements: DataFrame, distance: int) -> DataFrame:
+    """(segment, value, block, own, and the columns of elements): elements (node, fp, fp2, ...) filed in every segment under
+    all values that differ in at most one bit. Two that agree in some segment up to two bits share an entry, so all within
+    ``distance`` bits of fp do. Entries of many are cut into blocks; each element has its own and visits all."""
+    segments, names = cut(distance // 3 + 1, distance), elements.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        balls = [masks(bits, 1) for _, bits, _ in segments]
+        rows = (1 << 18) // max(map(len, balls))
+        for batch in batches:
+            every = np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns], axis=1)
+            for some in np.array_split(every, -(-len(every) // rows) or 1):
+                for i, ((first, bits, _), around) in enumerate(zip(segments, balls)):
+                    values = ((some[:, 1] >> np.uint64(first) & np.uint64((1 << bits) - 1))[:, None] ^ around).ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(values), i, dtype=np.int32)), pa.array(values.view(np.int64)),
+                         *(pa.array(np.repeat(x, len(around)).view(np.int64)) for x in some.T)],
+                        names=["segment", "value", *names],
+                    )
+
+    filed = elements.mapInArrow(run, ", ".join(["segment int", "value long", *(f"{n} long" for n in names)]))
+    # At most one row per entry, of which there are a few thousand per segment whatever the input.
+    large = filed.groupBy("segment", "value").agg(F.count("*").alias("n")).where(F.col("n") > _ENTRY)
+    large = large.select("segment", "value", F.ceil(F.col("n") / _ENTRY).cast("int").alias("blocks"))
+    filed = filed.join(F.broadcast(large), ["segment", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")
+    filed = filed.select("segment", "value", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), own, *names)
+    return filed.repartition("segment", "value", "block").sortWithinPartitions("segment", "value", "block", "node", "fp", "fp2")
+
+
+def near(fp: np.ndarray, fp2: np.ndarray, some: np.ndarray, others: np.ndarray, distance: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of some and of others that are close by both bounds, the pairs of a few of ``some`` at a time."""
+    rows = max(1, (1 << 20) // max(1, len(others)))
+    for at in range(0, len(some), rows):
+        mine = some[at : at + rows]
+        apart = np.bitwise_count(fp[mine, None] ^ fp[others])
+        close = (apart <= distance) & (apart + np.bitwise_count(fp2[mine, None] ^ fp2[others]) <= most)
+        i, j = np.nonzero(close)
+        yield mine[i], others[j]
+
+
+def _pairs(links: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    if links:
+        a, b = (pa.array(np.concatenate(x).view(np.int64)) for x in zip(*links))
+        yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+
+def loose_forest(elements: DataFrame, distance: int, most: int) -> DataFrame:
+    """(a, b): enough of the close pairs of elements (node, fp, fp2) to connect all that close pairs connect."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, (own, node, fp, fp2) in groups(batches, 3):
+            fp, fp2, home = fp.view(np.uint64), fp2.view(np.uint64), np.flatnonzero(own == key[2])
+            labels, links = np.arange(len(node)), []
+            for some, others in near(fp, fp2, np.arange(len(node)), home, distance, most):
+                others, some = others[some != others], some[some != others]
+                for i, theirs in zip(np.unique(some), np.split(others, np.flatnonzero(np.diff(some)) + 1)):
+                    joined, which = np.unique(labels[theirs], return_index=True)
+                    if len(joined) == 1 and joined[0] == labels[i]:
+                        continue
+                    new = theirs[which[joined != labels[i]]]
+                    links.append((np.repeat(node[i], len(new)), node[new]))
+                    labels[np.isin(labels, joined) | (labels == labels[i])] = min(labels[i], joined[0])
+            yield from _pairs(links)
+
+    return meetings(elements, distance).mapInArrow(run, "a long, b long")
+
+
+def open_pairs(elements: DataFrame, distance: int, most: int, least: float) -> DataFrame:
+    """(a, b), once each: all close pairs of elements (node, fp, fp2, size, label) with different labels whose sizes allow
+    this similarity."""
+    segments = cut(distance // 3 + 1, distance)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (segment, value, block), (own, node, fp, fp2, size, label) in groups(batches, 3):
+            at_home, names = own == block, np.unique(label)
+            if len(names) < 2:
+                continue
+            fp, fp2 = fp.view(np.uint64), fp2.view(np.uint64)
+            for name in names:
+                mine, others = np.flatnonzero(label == name), np.flatnonzero(at_home & (label != name))
+                for some, with_ in near(fp, fp2, mine, others, distance, most):
+                    good = (node[some] < node[with_]) & (np.minimum(size[some], size[with_]) >= least * np.maximum(size[some], size[with_]) - 1e-6)
+                    some, with_ = some[good], with_[good]
+                    # A pair meets in several entries and is told in one: in the first segment where it does, under the
+                    # value that differs from the first of them in no bit, or in the lowest where two bits differ.
+                    told = np.ones(len(some), dtype=bool)
+                    for i, (first, bits, _) in enumerate(segments[: segment + 1]):
+                        apart = (fp[some] ^ fp[with_]) >> np.uint64(first) & np.uint64((1 << bits) - 1)
+                        n = np.bitwise_count(apart)
+                        if i < segment:
+                            told &= n > 2
+                        else:
+                            here = fp[some] >> np.uint64(first) & np.uint64((1 << bits) - 1)
+                            low = apart & (~apart + np.uint64(1))
+                            told &= np.where(n < 2, here, here ^ low) == np.uint64(value)
+                    if told.any():
+                        yield from _pairs([(node[some[told]], node[with_[told]])])
+
+    return meetings(elements, distance).mapInArrow(run, "a long, b long")
+
+
+def drop_near_copies(docs: DataFrame, k: int = 5, distance: int = 14, most: int = 28, least: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without near copies of a smaller one, with their columns.
 
-    All fingerprints within ``distance`` of 64 bits meet, and many that are farther apart; those that meet and differ
-    in at most ``most`` of 128 bits propose pairs: a document with the smallest one of its fingerprint, those of two
-    linked fingerprints, and those of a fingerprint and of its component. Pairs whose texts have at least
-    this similarity link; of each group of linked documents the one with the smallest id stays. Rows with a null
-    id are told apart by their texts and come first; rows that repeat an id share its fate."""
+    Documents with one set of shingles are one; fingerprints are those of the sets. Two sets are close where at most
+    ``distance`` of 64 bits and at most ``most`` of 128 bits differ, whatever else the table holds. Close sets link
+    where their texts have at least this similarity, and of each group of linked documents the one with the smallest
+    id stays. First the texts of a spanning forest of the close pairs are compared, then those of every close pair
+    that the links found so far leave apart. Rows with a null id are told apart by their texts and come first; rows
+    that repeat an id share its fate."""
     key = free_name(docs, "key")
     unnamed = F.lit(-(2**62)) - F.pmod(F.xxhash64(text_column), F.lit(2**61))
     keyed = docs.withColumn(key, F.coalesce(F.col(id_column).cast("long"), unnamed))
     texts = keyed.select(F.col(key).alias("key"), F.col(text_column).alias("text"))
-    marked = fingerprints(texts, k, "key", again=True).withColumnRenamed("doc_id", "key").distinct()
-    marked = materialize(marked, "fingerprints")
-    fps = marked.groupBy("fp").agg(F.min("key").alias("first"), F.min_by("fp2", "key").alias("fp2"))
-    fps = materialize(fps, "distinct-fingerprints")
-    links = materialize(link_fingerprints(fps, distance, most=most), "fingerprint-links")
-    roots = components(links).join(fps, F.col("node") == F.col("fp"))
-    roots = materialize(roots.select("root", "first"), "roots")
-    copies = marked.join(fps.drop("fp2"), "fp").select(F.col("key").alias("a"), F.col("first").alias("b"))
-    firsts = roots.groupBy("root").agg(F.min("first").alias("b"))
-    stars = roots.join(firsts, "root").select(F.col("first").alias("a"), "b")
-    named = fps.select(F.col("fp").alias("a"), F.col("first").alias("first_a")), fps.select(F.col("fp").alias("b"), F.col("first").alias("first_b"))
-    between = links.join(named[0], "a").join(named[1], "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
-    pairs = copies.union(stars).union(between).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
-    pairs = materialize(pairs, "near-pairs")
-    members = pairs.select(F.col("a").alias("member")).union(pairs.select("b")).distinct()
-    members = materialize(texts.join(members, F.col("key") == F.col("member"), "left_semi"), "near-texts")
-    groups_ = components(similar_pairs(pairs, members.dropDuplicates(["key"]), k, least))
-    gone = materialize(groups_.where("node != root").select(F.col("node").alias("__gone")), "near-copies")
+    marked = materialize(set_fingerprints(texts, k).distinct(), "fingerprints")
+    sets = marked.groupBy("digest").agg(F.min("key").alias("node"), *[F.first(c).alias(c) for c in ("fp", "fp2", "size")])
+    sets = materialize(sets, "shingle-sets")
+    copies = marked.join(sets.select("digest", "node"), "digest").where("key != node").select("key", "node")
+    copies = materialize(copies, "copies")
+    firsts = materialize(sets.groupBy("fp", "fp2").agg(F.min("node").alias("node")).select("node", "fp", "fp2"), "distinct-fingerprints")
+    links = materialize(loose_forest(firsts, distance, most), "fingerprint-links")
+    roots = materialize(components(links), "roots")
+    # Every set with the first of its fingerprint and the smallest of its group of close fingerprints.
+    placed = sets.join(firsts.withColumnRenamed("node", "first"), ["fp", "fp2"])
+    placed = placed.join(roots.select(F.col("node").alias("first"), "root"), "first", "left").withColumn("root", F.coalesce("root", "first"))
+    placed = materialize(placed.select("node", "fp", "fp2", "size", "first", "root"), "placed")
+    pairs = placed.select(F.col("node").alias("a"), F.col("first").alias("b")).union(placed.select("first", "root")).union(links)
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+    groups_ = placed.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    members = placed.join(groups_, "root", "left_semi").select(F.col("node").alias("member")).distinct()
+    members = materialize(texts.join(members, F.col("key") == F.col("member"), "left_semi").distinct(), "near-texts")
+    alike = materialize(similar_pairs(materialize(pairs, "near-pairs"), members, k, least), "alike")
+    labels = components(alike).withColumnRenamed("root", "label")
+    placed = placed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = materialize(placed.select("node", "fp", "fp2", "size", "label", "root"), "labelled")
+    apart = placed.groupBy("root").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    left = placed.join(apart, "root", "left_semi").select("node", "fp", "fp2", "size", "label")
+    left = materialize(left, "unsettled")
+    rest = materialize(open_pairs(left, distance, most, least).join(pairs, ["a", "b"], "left_anti"), "open-pairs")
+    # An id that repeats may be a copy with one text and have links with another.
+    both = copies.join(sets.select("node").distinct().withColumnRenamed("node", "key"), "key", "left_semi")
+    found = alike.union(similar_pairs(rest, members, k, least)).union(both.select("key", "node"))
+    gone = components(found).where("node != root").select(F.col("node").alias("__gone"))
+    gone = materialize(gone.union(copies.select("key")).distinct(), "near-copies")
     return keyed.join(gone, F.col(key) == F.col("__gone"), "left_anti").select(*docs.columns)
 
 

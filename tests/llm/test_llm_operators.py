@@ -1,6 +1,7 @@
 """Operators against brute force."""
 
 import hashlib
+import itertools
 import math
 import os
 import random
@@ -380,6 +381,35 @@ def test_near_copies_go_and_others_stay(spark):
     assert got == [None, 0, 1, 1, 3, *range(4, 12)]
 
 
+def near_copies_by_brute_force(rows, distance=14, most=28):
+    """Ids that stay when every pair of texts within the bounds is compared."""
+    sets = {i: simhash.shingle_set((t or "").encode(), 5) for i, t, *_ in rows}
+    prints = {i: simhash.majority([x, text.mix(x)]) for i, x in sets.items()}
+    root = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        apart = [(x ^ y).bit_count() for x, y in zip(prints[a], prints[b])]
+        if root[a] != root[b] and apart[0] <= distance and sum(apart) <= most and simhash.similarity(sets[a], sets[b]) >= 0.8:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    return sorted(i for i, r in root.items() if i == r)
+
+
+@pytest.mark.parametrize("entry", [16_384, 9])
+def test_every_close_pair_is_compared(spark, monkeypatch, entry):
+    """Documents of one template: all are close to all others, and few of those are near copies."""
+    monkeypatch.setattr(simhash, "_ENTRY", entry)
+    rng = random.Random(5)
+    rows = []
+    for t in range(4):
+        template = odd.sentence(rng, 400, 10**6)
+        own = [odd.sentence(rng, n, 10**6) for n in (60, 65, 70, 75, 80, 70, 75, 65)]
+        rows += [(100 * t + i, f"{template} {x}", "en", "s", 0) for i, x in enumerate(own)]
+        # The second half of the own words is another; no text before links these two.
+        rows += [(100 * t + 50 + i, f"{template} {x[: len(x) * 9 // 10]} y{i} z{i}", "en", "s", 0) for i, x in enumerate(own[3:6])]
+    got = sorted(r.doc_id for r in simhash.drop_near_copies(odd.frame(spark, rows)).collect())
+    assert got == near_copies_by_brute_force(rows) and 4 < len(got) < 40
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components_match_brute_force(spark, seed):
     rng = random.Random(seed)
