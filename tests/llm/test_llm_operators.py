@@ -410,6 +410,16 @@ def test_every_close_pair_is_compared(spark, monkeypatch, entry):
     assert got == near_copies_by_brute_force(rows) and 4 < len(got) < 40
 
 
+def test_near_copies_among_repeated_passages(spark):
+    """One passage makes up most of all texts, whose sets of shingles differ otherwise."""
+    rng = random.Random(9)
+    tails = [odd.sentence(rng, 120, 10**6) for _ in range(4)]
+    rows = [(i, "for " * (300 + i) + tails[i % 4], "en", "s", 0) for i in range(12)]
+    rows += [(20 + i, "for " * (9 + i), "en", "s", 0) for i in range(3)]
+    got = sorted(r.doc_id for r in simhash.drop_near_copies(odd.frame(spark, rows)).collect())
+    assert got == near_copies_by_brute_force(rows) == [0, 1, 2, 3, 20]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components_match_brute_force(spark, seed):
     rng = random.Random(seed)
