@@ -420,6 +420,25 @@ def test_near_copies_among_repeated_passages(spark):
     assert got == near_copies_by_brute_force(rows) == [0, 1, 2, 3, 20]
 
 
+def test_proposals_do_not_depend_on_the_rest_of_the_table(spark):
+    """All pairs at the bound meet, once each: 14 of 64 bits, 28 of 128."""
+    rng = random.Random(3)
+    pairs = []
+    for i in range(300):
+        fp, fp2 = rng.getrandbits(64), rng.getrandbits(64)
+        n = rng.choice([0, 5, 10, 13, 14, 14, 15])
+        m = 28 - n + rng.choice([0, 0, 1, -3])
+        flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(64), n))
+        pairs.append((n <= 14 and n + m <= 28, (2 * i, fp, fp2), (2 * i + 1, flip(fp, n), flip(fp2, m))))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = [(i, signed(a), signed(b), 10, i) for _, *two in pairs for i, a, b in two]
+    elements = spark.createDataFrame(rows, "node long, fp long, fp2 long, size long, label long")
+    want = sorted((x[0], y[0]) for close, x, y in pairs if close)
+    assert sorted(tuple(r) for r in simhash.open_pairs(elements, 14, 28, 0.8).collect()) == want
+    forest = simhash.loose_forest(elements.select("node", "fp", "fp2"), 14, 28).collect()
+    assert {tuple(sorted(r)) for r in forest} == set(want)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components_match_brute_force(spark, seed):
     rng = random.Random(seed)
