@@ -10,7 +10,7 @@ holds three tables:
 
 ``insert`` adds documents and ``delete`` takes documents away again; both put exactly the keys whose
 count crosses two into their shard's filter or out of it, so that deleting what was inserted restores
-the earlier answers. ``clean`` asks the filters first: a line that its shard's filter does not know
+the earlier answers. When the keys outgrow the shards, all filters are built anew in more of them. ``clean`` asks the filters first: a line that its shard's filter does not know
 stays. What the filter knows is confirmed by the exact counts, and lines of a key held by several
 documents stay in the smallest doc_id only.
 
@@ -230,6 +230,11 @@ def delete(store: LineStore, ids: DataFrame, id_column: str = "doc_id") -> LineS
 
 
 def _crossed(store: LineStore, postings: DataFrame, refs: DataFrame) -> LineStore:
+    needed = -(-refs.count() // SHARD_KEYS)
+    if needed > store.shards:
+        # Twice as many at least, so that small insertions rarely build all filters anew.
+        shards = max(needed, 2 * store.shards)
+        return LineStore(postings, refs, materialize(_built(refs, shards), "line-filters"), shards)
     before, after = store.refs.where("n_docs > 1").select("key", F.lit(-1).alias("crossed")), refs.where("n_docs > 1").select("key", F.lit(1).alias("crossed"))
     changes = before.unionByName(after).groupBy("key").agg(F.sum("crossed").alias("crossed")).where("crossed != 0")
     filters = materialize(_updated(store.filters, changes, refs, store.shards), "line-filters")

@@ -196,6 +196,18 @@ def test_full_filter_is_built_anew(spark, monkeypatch):
     assert cleaned(store, odd.frame(spark, docs + more)) == line_brute_force(docs + more)
 
 
+def test_shards_grow_with_the_store(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 20)
+    few = [(i, "\n".join(f"common line number {j}" for j in range(5)), "en", "s", 1) for i in range(2)]
+    many = [(10 + i, "\n".join(f"other line number {j}" for j in range(100)), "en", "s", 1) for i in range(2)]
+    store = lines.insert(None, odd.frame(spark, few))
+    assert store.shards == 1
+    store = lines.insert(store, odd.frame(spark, many))
+    assert store.shards >= 6 and store.filters.count() > 1
+    assert cleaned(store, odd.frame(spark, few + many)) == line_brute_force(few + many)
+    assert cleaned(lines.delete(store, odd.frame(spark, many)), odd.frame(spark, few)) == line_brute_force(few)
+
+
 # mixing
 
 
