@@ -9,6 +9,7 @@ import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -640,6 +641,29 @@ def test_training_learns_from_both_sides(spark):
     assert before == pytest.approx(-math.log(18), abs=0.2) and after > before + 0.6
 
 
+def test_every_position_is_a_target_once(spark, monkeypatch):
+    """The weights of the rounds add up to all tokens of the corpus."""
+    rows = odd.documents(5)
+    weights = []
+    real = pseudo_likelihood.train_round
+
+    def counted(docs, vocabulary, parameters, number, text_column, rounds):
+        def run(batches):
+            for batch in batches:
+                n = 0
+                for _, words, begins in text.hashed_words([(t or "").encode() for t in batch.column(0).to_pylist()], text.FOLDED):
+                    n += int((pseudo_likelihood.round_of(words, begins, rounds) == number).sum())
+                yield pa.RecordBatch.from_pydict({"n": [n]})
+
+        weights.append(sum(r.n for r in docs.select(text_column).mapInArrow(run, "n long").collect()))
+        return real(docs, vocabulary, parameters, number, text_column, rounds)
+
+    monkeypatch.setattr(pseudo_likelihood, "train_round", counted)
+    pseudo_likelihood.train(odd.frame(spark, rows))
+    assert len(weights) == pseudo_likelihood.ROUNDS and min(weights) > 0
+    assert sum(weights) == sum(len((t or "").split()) for _, t, *_ in rows)
+
+
 def test_training_gradient():
     rng = np.random.default_rng(0)
     counts = [5] * pseudo_likelihood.FREQUENT
