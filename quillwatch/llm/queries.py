@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwatch.llm import (
-    chat, decontaminate, exact, kneser_ney, lines, mixing, pseudo_likelihood, simhash, substrings, urls,
+    byte_pairs, chat, decontaminate, exact, kneser_ney, lines, mixing, pseudo_likelihood, simhash, substrings, urls,
 )
 from quillwatch.llm.tables import table
 
@@ -79,11 +80,16 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    coder = byte_pairs.Coder(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_pairs.round_trip(table(spark, folder, "documents").select("doc_id", "text"), coder).drop("text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pseudo_likelihood, op2_decontamination, op3_exact_dedup, op4_line_dedup, op5_mixing, op6_chat_format,
-        op7_simhash, op8_substring_dedup, op9_url_filter, op10_quality,
+        op7_simhash, op8_substring_dedup, op9_url_filter, op10_quality, op13_byte_pairs,
     )
 }
 

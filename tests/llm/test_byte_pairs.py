@@ -1,0 +1,161 @@
+"""Byte-level BPE against joining by rank, against a public encoder, and after edits."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from quillwatch.llm import byte_pairs
+from quillwatch.llm.queries import QUERIES
+
+FILES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
+LETTERS = "abcdefgh  \n\t'sltre0123!?é\x1c\x85　ñ漢字😀ing the"
+
+
+@pytest.fixture(scope="module", params=FILES)
+def codec(request):
+    with open(public_tokenizers.path(request.param), "rb") as file:
+        vocabulary = byte_pairs.Vocabulary(byte_pairs.read_ranks(file.read()))
+    return byte_pairs.Codec(vocabulary, public_tokenizers.PATTERN)
+
+
+def public(codec):
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.vocabulary.ranks, special_tokens={})
+
+
+def some_text(rng, n):
+    return "".join(rng.choice(LETTERS) for _ in range(n))
+
+
+def test_same_ids_as_the_public_encoder(codec):
+    rng, other = random.Random(3), public(codec)
+    texts = [some_text(rng, rng.randrange(60)) for _ in range(3000)] + ["", " ", "\n \n", "a  ", "<|endoftext|>"]
+    texts += ["a" * 5000, " " * 5000, "x" + " \n" * 3000, "the" * 4000, "word " * 1000]
+    for text, ids in zip(texts, codec.encode_all(texts), strict=True):
+        assert ids.tolist() == other.encode_ordinary(text)
+        assert b"".join(codec.decode(ids)) == text.encode()
+        assert b"".join(codec.decimal(ids)) == "".join(f" {i}" for i in ids).encode()
+
+
+def test_texts_longer_than_a_run_and_full_tables(codec, monkeypatch):
+    monkeypatch.setattr(byte_pairs, "_RUN", 500)
+    monkeypatch.setattr(byte_pairs, "_DECODED", 70)
+    monkeypatch.setattr(byte_pairs, "REMEMBERED", 50)
+    rng, other = random.Random(4), public(codec)
+    texts = [some_text(rng, n) for n in (10, 499, 501, 1500, 7000)] + ["y" * 3000, " " * 3000]
+    own = byte_pairs.Codec(codec.vocabulary, public_tokenizers.PATTERN)
+    for text, ids in zip(texts, own.encode_all(texts), strict=True):
+        assert ids.tolist() == other.encode_ordinary(text)
+        assert b"".join(own.decode(ids)) == text.encode()
+
+
+def test_every_prefix_has_the_last_token_of_its_own_encoding(codec):
+    rng = random.Random(5)
+    for _ in range(100):
+        data = bytes(rng.choice(b"aabtheing srn  \xc3\xa9") for _ in range(rng.randrange(1, 40)))
+        table = byte_pairs.Prefixes(codec.vocabulary, data)
+        for end in range(1, len(data) + 1):
+            assert table.last[end] == codec.vocabulary.joined(data[:end])[-1]
+
+
+def test_compatible_means_that_joining_gives_both_back(codec):
+    rng, v = random.Random(6), codec.vocabulary
+    tokens = sorted(v.reached.values())
+    for few in (300, 5000, len(tokens)):
+        for _ in range(4000):
+            a, b = rng.choice(tokens[:few]), rng.choice(tokens[:few])
+            assert v.compatible[a, b] == (v.joined(v.tokens[a] + v.tokens[b]) == [a, b])
+
+
+def test_appends_and_edits_of_a_piece(codec):
+    rng, v = random.Random(7), codec.vocabulary
+    piece = lambda n: bytes(rng.choice(b"aabtheing srn") for _ in range(n))
+    for _ in range(200):
+        table = byte_pairs.Prefixes(v, piece(rng.randrange(30)))
+        table.append(piece(rng.randrange(30)))
+        assert table.ids() == v.joined(table.data)
+        start = rng.randrange(len(table.data) + 1)
+        table.edit(start, rng.randrange(start, len(table.data) + 1), piece(rng.randrange(6)))
+        assert table.ids() == v.joined(table.data)
+        assert table.last == byte_pairs.Prefixes(v, table.data).last
+
+
+def test_an_edit_is_computed_near_its_place(codec):
+    table = byte_pairs.Prefixes(codec.vocabulary, b"theinga" * 20000)
+    assert table.edit(70000, 70003, b"qx") < 2000
+    assert table.last == byte_pairs.Prefixes(codec.vocabulary, table.data).last
+
+
+def test_edits_of_a_text(codec):
+    rng, other = random.Random(8), public(codec)
+    for _ in range(3000):
+        text = some_text(rng, rng.randrange(40))
+        start = rng.randrange(len(text) + 1)
+        end = rng.randrange(start, len(text) + 1)
+        changed, ids = codec.reencode(text, codec.encode(text), start, end, some_text(rng, rng.randrange(4)))
+        assert ids.tolist() == other.encode_ordinary(changed)
+
+
+def test_a_vocabulary_with_tokens_that_joining_never_reaches():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bc": 257, b"xabc": 258, b"abcd": 259}
+    v = byte_pairs.Vocabulary(ranks)
+    assert b"abcd" not in v.reached and b"xabc" not in v.reached
+    codec = byte_pairs.Codec(v, public_tokenizers.PATTERN)
+    for text in ("abcd", "xabc", "abcdabcd", "zabcd", "bcbcab"):
+        assert codec.encode(text).tolist() == public(codec).encode_ordinary(text)
+
+
+def coder(spark):
+    return byte_pairs.Coder(spark, public_tokenizers.path(FILES[0]), public_tokenizers.PATTERN)
+
+
+def test_columns_nulls_repeats_and_clashing_names(spark):
+    texts = ["Hello there", None, "", "Hello there", "été\n\n  x", None]
+    rows = [(i % 3 if i else None, t, "x", "y") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, ids STRING, n_tokens STRING")
+    own, other = coder(spark), tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+        mergeable_ranks=byte_pairs.read_ranks(open(public_tokenizers.path(FILES[0]), "rb").read()),
+    )
+    encoded = byte_pairs.encode(docs, own)
+    decoded = byte_pairs.decode(encoded, own).collect()
+    assert sorted((r.text or "", r.ids, bytes(r.decoded)) for r in decoded) == sorted(
+        (t or "", other.encode_ordinary(t or ""), (t or "").encode()) for t in texts
+    )
+    assert {r.n_tokens for r in decoded} == {"y"}
+    assert byte_pairs.round_trip(docs.limit(0), own).collect() == []
+    assert byte_pairs.encode(docs.limit(0), own).collect() == []
+
+
+def test_edits_of_a_table(spark):
+    docs = spark.createDataFrame(
+        [("one two three", 4, 7, "2"), ("abc", 1, None, "x"), (None, 0, 0, "x"), ("abc", -5, 99, "new text"), ("abc", 3, 3, "d")],
+        "text STRING, at INT, upto INT, put STRING",
+    )
+    own = coder(spark)
+    got = byte_pairs.reencode(byte_pairs.encode(docs, own), own, "at", "upto", "put")
+    again = {r.text: r.ids for r in byte_pairs.encode(got.drop("ids"), own).collect()}
+    rows = got.collect()
+    assert sorted(r.text or "" for r in rows) == ["", "abc", "abcd", "new text", "one 2 three"]
+    assert all(r.ids == again[r.text] for r in rows)
+
+
+def test_query_against_the_public_encoder(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [some_text(rng, rng.randrange(300)) for _ in range(60)] + [None, "", "a" * 2000]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    other = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+        mergeable_ranks=byte_pairs.read_ranks(open(public_tokenizers.path(FILES[0]), "rb").read()),
+    )
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    expected = []
+    for i, t in enumerate(texts):
+        ids = other.encode_ordinary(t or "")
+        expected.append((i, len(ids), sha(" ".join(map(str, ids)).encode()), sha(other.decode_bytes(ids))))
+    got = QUERIES["op13_byte_pairs"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(tuple, got.collect())) == expected
