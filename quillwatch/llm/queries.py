@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwatch.llm import (
-    byte_pairs, chat, decontaminate, exact, kneser_ney, lines, mixing, pseudo_likelihood, simhash, substrings, urls,
+    audit, byte_pairs, chat, decontaminate, exact, kneser_ney, lines, mixing, pseudo_likelihood, simhash, substrings, urls,
 )
 from quillwatch.llm.tables import table
 
@@ -80,6 +80,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op13_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     coder = byte_pairs.Coder(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return byte_pairs.round_trip(table(spark, folder, "documents").select("doc_id", "text"), coder).drop("text")
@@ -89,7 +93,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_pseudo_likelihood, op2_decontamination, op3_exact_dedup, op4_line_dedup, op5_mixing, op6_chat_format,
-        op7_simhash, op8_substring_dedup, op9_url_filter, op10_quality, op13_byte_pairs,
+        op7_simhash, op8_substring_dedup, op9_url_filter, op10_quality, op11_filter_audit, op13_byte_pairs,
     )
 }
 
@@ -195,4 +199,48 @@ ORACLES = {
         )
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (host, path)
     """,
+    "op11_filter_audit": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), least_ids AS (
+            SELECT text, min(doc_id) AS first_id FROM t GROUP BY text
+        ), known AS (
+            SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+        ), fails AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map {
+                'A': len(w) < 200,
+                'B': 100 * len(list_distinct(w)) < 50 * len(w),
+                'C': 100 * len(regexp_extract_all(t.text, '[A-Z]')) > 3 * length(t.text),
+                'D': regexp_matches(t.text, '[#$%&*|]'),
+                'E': coalesce(t.doc_id > first_id, false)} AS f
+            FROM t JOIN least_ids USING (text) LEFT JOIN known USING (doc_id)
+        ), counts AS (
+            SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM fails GROUP BY part, f
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+        ), orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), steps AS (
+            SELECT filter_order, step::INTEGER AS step, filter_order[step] AS x, string_split(filter_order[1:step - 1], '') AS before
+            FROM orders, (SELECT unnest(range(1, 6)) AS step)
+        ), seen AS (
+            SELECT part, filter_order, step, x, n, good, toxic, f[x] AS hit,
+                   len(list_filter(before, lambda l: l <> '' AND f[l])) > 0 AS gone,
+                   len(list_filter(map_values(f), lambda v: v)) = 1 AS alone
+            FROM counts, steps
+        ), found AS (
+            SELECT part, filter_order, step, x,
+                   coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (hit AND alone), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+                   coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+            FROM seen GROUP BY part, filter_order, step, x
+        )
+        SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM found
+    """,
 }

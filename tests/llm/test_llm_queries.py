@@ -12,7 +12,7 @@ from quillwatch.llm import chat, decontaminate, exact, kneser_ney, lines, mixing
 from quillwatch.llm.queries import ORACLES, QUERIES  # noqa: E402
 
 FOLDER = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def rows_of(df, columns):
