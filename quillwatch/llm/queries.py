@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwatch.llm import (
-    audit, byte_pairs, chat, decontaminate, exact, kneser_ney, lines, mixing, pseudo_likelihood, simhash, substrings, urls,
+    audit, byte_pairs, chat, decontaminate, exact, kneser_ney, lines, mixing, prefix_trie, pseudo_likelihood, simhash, substrings, urls,
 )
 from quillwatch.llm.tables import table
 
@@ -84,6 +84,10 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
 def op13_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     coder = byte_pairs.Coder(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return byte_pairs.round_trip(table(spark, folder, "documents").select("doc_id", "text"), coder).drop("text")
@@ -93,7 +97,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_pseudo_likelihood, op2_decontamination, op3_exact_dedup, op4_line_dedup, op5_mixing, op6_chat_format,
-        op7_simhash, op8_substring_dedup, op9_url_filter, op10_quality, op11_filter_audit, op13_byte_pairs,
+        op7_simhash, op8_substring_dedup, op9_url_filter, op10_quality, op11_filter_audit, op12_prefix_trie,
+        op13_byte_pairs,
     )
 }
 
@@ -243,4 +248,39 @@ ORACLES = {
         )
         SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM found
     """,
+    "op12_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS turns
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+            GROUP BY conv_id
+        ), crc AS (
+            SELECT conv_id, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                              lambda x, bit: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 6 AS h
+            FROM own
+        ), paths AS (
+            SELECT o.conv_id, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS path
+            FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+        ), members AS (
+            SELECT conv_id, path[1:depth] AS node, depth, len(path) = depth AS ends
+            FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM paths)
+        ), nodes AS (
+            SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM members GROUP BY node, depth
+        ), children AS (
+            SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), counted AS (
+            SELECT nodes.*, coalesce(children.n, 0) AS n_children,
+                   CASE WHEN nodes.depth = 0 THEN 0 ELSE (n_convs - 1) * length(nodes.node[nodes.depth].text) END AS saved
+            FROM nodes LEFT JOIN children ON children.node = nodes.node AND children.depth = nodes.depth
+        ), subtrees AS (
+            SELECT node[1:top] AS node, top AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS top FROM counted) GROUP BY ALL
+        )
+        SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+        FROM counted c JOIN subtrees s ON s.node = c.node AND s.depth = c.depth
+             LEFT JOIN nodes p ON p.node = c.node[1:c.depth - 1] AND p.depth = c.depth - 1
+    """,
 }
