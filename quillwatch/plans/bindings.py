@@ -7,7 +7,7 @@ revert. A ``view`` event also counts as one page view. Parts describe entities.
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillwatch.operators import cleaning, coediting, episodes, features, stability
@@ -159,6 +159,33 @@ def revision_replies(spark: SparkSession, folder: str) -> DataFrame:
     return found.unionByName(absent)
 
 
+def paged_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """Histories in pages of one to seven revisions, by article. Some pages are missing, some come twice, and some
+    articles have two more pages that lead to each other."""
+    raw = raw_revisions(spark, folder)
+    order = Window.partitionBy("article_title").orderBy("revid")
+    number = F.floor((F.row_number().over(order) - 1) / (1 + F.col("pageid") % 7))
+    record = F.struct("revid", "parentid", "timestamp", "user", "userid", "comment", "size")
+    pages = raw.withColumn("_page", number).groupBy("article_title", "pageid", "_page").agg(
+        F.sort_array(F.collect_list(record)).alias("revisions"), F.min("revid").alias("first")
+    )
+    pages = pages.withColumn("next", F.lead("first").over(Window.partitionBy("article_title").orderBy("_page")))
+    found = pages.filter(F.col("first") % 13 != 4)
+    again = found.filter(F.col("first") % 5 == 1)
+    circle = raw.filter(F.col("pageid") % 10 == 3).select("article_title", "pageid").distinct()
+    here, there = 10**12 + 2 * F.col("pageid"), 10**12 + 2 * F.col("pageid") + 1
+    round_ = [
+        circle.select("article_title", "pageid", F.array(F.struct(first.alias("revid"))).alias("revisions"), following.alias("next"))
+        for first, following in ((here, there), (there, here))
+    ]
+    told = found.unionByName(again).select("article_title", "pageid", "revisions", "next")
+    for pages in round_:
+        told = told.unionByName(pages.withColumn("revisions", F.from_json(F.to_json("revisions"), found.schema["revisions"].dataType)))
+    token = F.struct(F.when(F.col("next").isNotNull(), F.concat(F.lit("20240101000000|"), F.col("next"))).alias("rvcontinue"))
+    body = F.struct(F.create_map(F.col("pageid").cast("string"), F.struct("revisions")).alias("pages"))
+    return told.select("article_title", F.to_json(F.struct(token.alias("continue"), body.alias("query"))).alias("reply"))
+
+
 def entity_replies(spark: SparkSession, folder: str) -> DataFrame:
     """Entity replies of varied shape: a missing entity, absent labels, claims that point to
     an entity and claims that hold text."""

@@ -18,7 +18,7 @@ from quillwatch.operators import (
     charts, cleaning, coediting, episodes, features, graph, quality, stability, topics,
 )
 from quillwatch.session import exists, materialize, scratch
-from quillwatch.sources import raw, replies, sinks
+from quillwatch.sources import paging, raw, replies, sinks
 from quillwatch.streaming import weekly as stream
 
 
@@ -42,7 +42,6 @@ class Feeds:
 
 
 FLATTEN = {
-    "revisions": (replies.flatten_revisions, raw.scan_revisions),
     "entities": (replies.flatten_entities, raw.scan_entities),
     "pageviews": (replies.flatten_pageviews, raw.scan_pageviews),
 }
@@ -50,7 +49,9 @@ FLATTEN = {
 
 def add_replies(spark: SparkSession, feeds: Feeds, kind: str, found: DataFrame) -> None:
     """Flatten API replies (article_title, reply) and append the titles that the feed of this
-    kind does not hold yet."""
+    kind does not hold yet. Revisions come in pages, and later pages may come in later calls."""
+    if kind == "revisions":
+        return add_revision_pages(spark, feeds, found)
     flatten, scan = FLATTEN[kind]
     path = getattr(feeds, kind)
     records = flatten(found)
@@ -60,6 +61,30 @@ def add_replies(spark: SparkSession, feeds: Feeds, kind: str, found: DataFrame)
     sinks.write_raw_by_title(records, path, mode="append")
 
 
+def add_revision_pages(spark: SparkSession, feeds: Feeds, found: DataFrame) -> None:
+    """Append what the replies add to the histories in the feed. All replies are kept beside the feed, so that a page
+    that was missing in one call joins those before and behind it when it comes in another. A title that
+    the feed holds from elsewhere is left alone. A call that failed half way is made good by the next for its titles."""
+    path = feeds.revisions.rstrip("/")
+    archive, fed = f"{path}-replies", exists(spark, path)
+    kept = spark.read.parquet(archive) if exists(spark, archive) else None
+    call = 1 + (kept.agg(F.coalesce(F.max("fetched"), F.lit(0))).first()[0] if kept is not None else 0)
+    titles = found.select("article_title").distinct()
+    if fed:
+        held = raw.scan_revisions(spark, path, feeds.pretty).select("article_title").distinct()
+        elsewhere = held.join(kept.select("article_title").distinct(), "article_title", "left_anti") if kept is not None else held
+        titles = titles.join(elsewhere, "article_title", "left_anti")
+    titles = materialize(titles, "asked-titles")
+    asked = found.select("article_title", "reply").join(titles, "article_title", "left_semi")
+    asked.withColumn("fetched", F.lit(call).cast("long")).write.mode("append").parquet(archive)
+    pages = spark.read.parquet(archive).join(titles, "article_title", "left_semi")
+    records = paging.flatten_paged_revisions(pages).drop("page_no")
+    if fed:
+        old = raw.scan_revisions(spark, path, feeds.pretty).select("article_title", "revid")
+        records = records.join(old, ["article_title", "revid"], "left_anti")
+    sinks.write_raw_by_title(materialize(records, "new-revisions"), path, mode="append")
+
+
 def build_features(
     spark: SparkSession, feeds: Feeds, out: str, max_revisions: int | None = None
 ) -> dict[str, DataFrame]:

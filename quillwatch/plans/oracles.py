@@ -174,6 +174,37 @@ oracle("scan_pageviews", "SELECT * FROM raw_views")
 oracle("scan_parquet", "SELECT event_id, user_id, event_type FROM events")
 oracle("dim_topics", "SELECT * FROM topic_of")
 oracle("flatten_revision_api", "SELECT * FROM raw_rev")
+PAGES = f"""WITH RECURSIVE {BASE},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY article_title ORDER BY revid) - 1 AS rn FROM raw_rev),
+paged AS (
+  SELECT *, lead(first) OVER (PARTITION BY article_title ORDER BY first) AS next
+  FROM (SELECT article_title, rn // (1 + pageid % 7) AS page, min(revid) AS first, min_by("timestamp", revid) AS first_time, count(*) AS n
+        FROM numbered GROUP BY 1, 2, pageid)),
+circled AS (SELECT DISTINCT article_title, 1000000000000 + 2 * pageid AS x FROM raw_rev WHERE pageid % 10 = 3),
+stored AS (
+  SELECT article_title, first, first_time, n, next, CASE WHEN first % 5 = 1 THEN 2 ELSE 1 END AS replies FROM paged WHERE first % 13 <> 4
+  UNION ALL SELECT article_title, x, NULL, 1, x + 1, 1 FROM circled
+  UNION ALL SELECT article_title, x + 1, NULL, 1, x, 1 FROM circled),
+heads AS (SELECT * FROM stored s WHERE NOT EXISTS (FROM stored t WHERE t.article_title = s.article_title AND t.next = s.first)),
+walk AS (
+  SELECT *, first AS head, 0::BIGINT AS page_no FROM heads
+  UNION ALL
+  SELECT s.*, w.head, w.page_no + 1 FROM walk w JOIN stored s ON s.article_title = w.article_title AND s.first = w.next),
+oldest AS (SELECT article_title, arg_min(first, (first_time, first)) AS head FROM heads GROUP BY 1),
+kept AS (SELECT w.* FROM walk w JOIN oldest USING (article_title, head))
+"""
+ORACLES["flatten_paged_revisions"] = f"""{PAGES}
+  SELECT r.revid, r.parentid, r."timestamp", r.size, article_title, r.pageid, k.page_no
+  FROM kept k JOIN paged p USING (article_title, first) JOIN numbered r USING (article_title)
+  WHERE r.rn // (1 + r.pageid % 7) = p.page"""
+ORACLES["paging_report"] = f"""{PAGES}
+  SELECT article_title, count(k.first) AS pages, coalesce(sum(k.n), 0)::BIGINT AS revisions, sum(s.replies - 1)::BIGINT AS doubled,
+         count(*) FILTER (k.first IS NULL AND w.first IS NOT NULL) AS after_gap, count(*) FILTER (w.first IS NULL) AS looped,
+         arg_max(s.next, k.page_no) FILTER (k.first IS NOT NULL AND s.next IS NOT NULL AND NOT EXISTS (
+             FROM stored t WHERE t.article_title = s.article_title AND t.first = s.next)) AS missing_revid,
+         missing_revid IS NULL AND after_gap = 0 AND looped = 0 AS complete
+  FROM stored s LEFT JOIN walk w USING (article_title, first) LEFT JOIN kept k USING (article_title, first)
+  GROUP BY article_title"""
 oracle("flatten_entity_api", """
   SELECT 'Q' || p_partkey::VARCHAR AS qid, 'A' || p_partkey::VARCHAR AS article_title,
          CASE WHEN p_type = 'SMALL' THEN 'A' || p_partkey::VARCHAR ELSE p_name END AS label,

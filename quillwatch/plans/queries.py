@@ -14,7 +14,7 @@ from quillwatch.operators import (
 )
 from quillwatch.plans import bindings as b
 from quillwatch.session import fresh_path, materialize
-from quillwatch.sources import raw, replies, sinks
+from quillwatch.sources import paging, raw, replies, sinks
 from quillwatch.streaming import weekly as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,16 @@ def _(spark, folder):
     return replies.flatten_revisions(b.revision_replies(spark, folder))
 
 
+@query("flatten_paged_revisions")
+def _(spark, folder):
+    return paging.flatten_paged_revisions(b.paged_replies(spark, folder)).drop("comment", "user", "userid")
+
+
+@query("paging_report")
+def _(spark, folder):
+    return paging.paging_report(paging.chained(paging.read_pages(b.paged_replies(spark, folder))))
+
+
 @query("flatten_entity_api")
 def _(spark, folder):
     return replies.flatten_entities(b.entity_replies(spark, folder)).drop("instance_of", "part_of")

@@ -26,6 +26,9 @@ REVISION_REPLY = (
     "comment: STRING, size: BIGINT>>>>>"
 )
 
+# A reply that is one page of several names what the next page begins with.
+REVISION_PAGE = "continue STRUCT<rvcontinue: STRING>, " + REVISION_REPLY
+
 ENTITY_REPLY = (
     "entities MAP<STRING, STRUCT<missing: STRING, "
     "labels: MAP<STRING, STRUCT<value: STRING>>, "
