@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwatch.operators import (
-    charts, cleaning, coediting, episodes, features, graph, quality, stability, topics,
+    charts, cleaning, coediting, episodes, features, graph, models, quality, stability, topics,
 )
 from quillwatch.session import exists, materialize, scratch
 from quillwatch.sources import paging, raw, replies, sinks
@@ -142,26 +142,30 @@ def analyse(
 
 
 def classify(article_features: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Label distribution, both classifiers, their predictions on the held-out articles, confusion
-    matrices and metrics."""
+    """Label distribution, both classifiers, the forest's nodes, the coefficients and how far they are from the
+    minimum of the loss, predictions on the held-out articles, confusion matrices and metrics."""
     spark = article_features.sparkSession
     labelled = stability.with_label(article_features)
     written = {"label_distribution": sinks.write_parquet(stability.label_distribution(labelled), f"{out}/label_distribution")}
     vectors = sinks.write_parquet(stability.feature_vectors(labelled), f"{out}/feature_vectors")
     train, test = stability.train_test_split(vectors)
-    models = {
+    fitted = {
         "random_forest": stability.fit_forest(train),
         "logistic_regression": stability.fit_regression(train),
     }
+    forest, regression = fitted.values()
+    written["forest_nodes"] = sinks.write_parquet(models.forest_nodes(forest, spark), f"{out}/forest_nodes")
+    gaps = models.optimality(train, models.coefficient_table(regression, spark))
+    written["regression_coefficients"] = sinks.write_parquet(gaps, f"{out}/regression_coefficients")
     scores = {}
-    for name, model in models.items():
+    for name, model in fitted.items():
         table = f"{name}_predictions"
         written[table] = sinks.write_parquet(stability.predictions_of(model, test), f"{out}/{table}")
         scores[name] = stability.evaluate(written[table])
         written[f"{name}_confusion"] = sinks.write_parquet(
             stability.confusion_matrix(written[table]), f"{out}/{name}_confusion"
         )
-    importance = stability.feature_importance(models["random_forest"], spark)
+    importance = stability.feature_importance(forest, spark)
     written["model_metrics"] = sinks.write_metrics(
         stability.model_metrics(scores, importance), f"{out}/model_metrics"
     )

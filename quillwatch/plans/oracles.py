@@ -3,7 +3,7 @@ plans: naive self joins, whole-table windows, correlated counts."""
 
 from __future__ import annotations
 
-from quillwatch.plans.queries import CHECK_REVISION_CAP, CHECK_TOP_EDITORS, PRESENT_TARGET, TIMELINE_TARGET
+from quillwatch.plans.queries import PRESENT_TARGET, SHORT_CAP, TIMELINE_TARGET
 
 ORACLES: dict[str, str] = {}
 
@@ -218,9 +218,10 @@ oracle("extract_claims", """
   SELECT 'A' || p_partkey::VARCHAR, 'P361', CASE WHEN p_size % 2 = 1 THEN 'Q' || p_size::VARCHAR ELSE '' END
   FROM part WHERE p_type <> 'STANDARD'""")
 oracle("flatten_pageview_api", "SELECT * FROM raw_views")
-oracle("cap_revisions", f"""
+for name, cap in (("cap_revisions", 5000), ("cap_revisions_short", SHORT_CAP)):
+    oracle(name, f"""
   SELECT article_title, revid, edit_timestamp FROM rev
-  QUALIFY row_number() OVER (PARTITION BY article_title ORDER BY edit_timestamp, revid) <= {CHECK_REVISION_CAP}""")
+  QUALIFY row_number() OVER (PARTITION BY article_title ORDER BY edit_timestamp, revid) <= {cap}""")
 oracle("incremental_new_keys", """
   SELECT DISTINCT article_title FROM ent WHERE article_title NOT IN (SELECT article_title FROM rev)""")
 oracle("ingest_counts", """
@@ -281,7 +282,7 @@ oracle("join_features", f"SELECT {FEATURE_COLUMNS} FROM joined")
 oracle("assign_topic", """
   SELECT article_title, revid, coalesce(topic_category, 'unknown') AS topic_category
   FROM rev LEFT JOIN topic_of USING (article_title)""")
-oracle("topk_editor_filter", 'SELECT article_title, "user", edit_timestamp FROM kept', CHECK_TOP_EDITORS)
+oracle("topk_editor_filter", 'SELECT article_title, "user", edit_timestamp FROM kept')
 oracle("coedit_pairs", "SELECT * FROM pairs")
 oracle("edge_neighbour_join", """
   , lists AS (SELECT editor, string_agg(neighbor, ',' ORDER BY neighbor) AS neighbors FROM adj GROUP BY 1)
@@ -300,9 +301,9 @@ oracle("length_change", "SELECT article_title, revid, prev_length, length_change
 oracle("pageview_features", f"SELECT article_title, {TRAFFIC_COLUMNS} FROM traffic")
 oracle("editor_activity", 'SELECT "user", count(*) AS edits FROM named GROUP BY 1')
 oracle("top_editors", f"""
-  SELECT "user", count(*) AS edits FROM named GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {CHECK_TOP_EDITORS}""")
+  SELECT "user", count(*) AS edits FROM named GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 200""")
 oracle("coediting_edges", "SELECT * FROM edges")
-oracle("coedit_graph", "SELECT * FROM edges", CHECK_TOP_EDITORS)
+oracle("coedit_graph", "SELECT * FROM edges")
 oracle("top_edges", "SELECT * FROM top_e")
 oracle("symmetric_adjacency", "SELECT * FROM adj")
 oracle("editor_degree", "SELECT * FROM degrees")
@@ -361,6 +362,13 @@ for model in ("rf_classifier", "lr_classifier"):
 oracle("feature_importance", f"""
   SELECT i::INTEGER AS rank, true AS not_negative, true AS in_order, true AS adds_up, true AS one_feature
   FROM range(1, {len(VECTOR) + 1}) r(i)""")
+oracle("forest_replay", """
+  SELECT article_title, stability_label, true AS same_probability, true AS same_prediction FROM predicted WHERE model = 'first'""")
+oracle("forest_importance", f"""
+  SELECT feature, true AS same_importance FROM (VALUES {", ".join(f"('{v}')" for v in VECTOR)}) v(feature)""")
+oracle("regression_optimality", f"""
+  SELECT place::INTEGER AS place, feature, true AS at_minimum
+  FROM (VALUES {", ".join(f"({i}, '{v}')" for i, v in enumerate((*VECTOR, "intercept")))}) v(place, feature)""")
 oracle("model_metrics", f"""
   SELECT model, true AS accuracy_agrees, true AS f1_agrees, true AS auc_agrees, {len(VECTOR)}::INTEGER AS ranked
   FROM (VALUES ('random_forest'), ('logistic_regression')) m(model)""")

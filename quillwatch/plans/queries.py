@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillwatch.functions import revert_flag, safe_title
 from quillwatch.operators import (
-    charts, cleaning, coediting, episodes, features, graph, quality, sequences, stability, topics,
+    charts, cleaning, coediting, episodes, features, graph, models, quality, sequences, stability, topics,
 )
 from quillwatch.plans import bindings as b
 from quillwatch.session import fresh_path, materialize
@@ -23,8 +23,7 @@ QUERIES: dict[str, Query] = {}
 
 TIMELINE_TARGET = "No such article"
 PRESENT_TARGET = "A7"
-CHECK_TOP_EDITORS = 50
-CHECK_REVISION_CAP = 50
+SHORT_CAP = 50
 
 
 def query(name: str):
@@ -119,7 +118,14 @@ def _(spark, folder):
 
 @query("cap_revisions")
 def _(spark, folder):
-    kept = cleaning.cap_revisions(b.revisions(spark, folder), CHECK_REVISION_CAP)
+    kept = cleaning.cap_revisions(b.revisions(spark, folder))
+    return kept.select("article_title", "revid", "edit_timestamp")
+
+
+@query("cap_revisions_short")
+def _(spark, folder):
+    """A cap that is reached by articles of small tables, too."""
+    kept = cleaning.cap_revisions(b.revisions(spark, folder), SHORT_CAP)
     return kept.select("article_title", "revid", "edit_timestamp")
 
 
@@ -335,7 +341,7 @@ def _(spark, folder):
 
 @query("topk_editor_filter")
 def _(spark, folder):
-    return coediting.of_top_editors(coediting.named_edits(b.revisions(spark, folder)), CHECK_TOP_EDITORS)
+    return coediting.of_top_editors(coediting.named_edits(b.revisions(spark, folder)))
 
 
 @query("coedit_pairs")
@@ -407,7 +413,7 @@ def _(spark, folder):
 
 @query("top_editors")
 def _(spark, folder):
-    return coediting.top_editors(coediting.named_edits(b.revisions(spark, folder)), CHECK_TOP_EDITORS)
+    return coediting.top_editors(coediting.named_edits(b.revisions(spark, folder)))
 
 
 @query("coediting_edges")
@@ -417,7 +423,7 @@ def _(spark, folder):
 
 @query("coedit_graph")
 def _(spark, folder):
-    return coediting.coedit_graph(b.revisions(spark, folder), CHECK_TOP_EDITORS)
+    return coediting.coedit_graph(b.revisions(spark, folder))
 
 
 @query("top_edges")
@@ -529,7 +535,8 @@ def _(spark, folder):
 
 def _train_and_test(spark, folder) -> tuple[DataFrame, DataFrame]:
     labelled = materialize(stability.with_label(b.article_features(spark, folder)), "labelled")
-    return stability.train_test_split(stability.feature_vectors(labelled))
+    # Written once: counting, ordering and fitting each read them.
+    return stability.train_test_split(materialize(stability.feature_vectors(labelled), "vectors"))
 
 
 # A fitted model has no counterpart in SQL. What SQL can state is who is held out, with which
@@ -573,6 +580,43 @@ def _(spark, folder):
     )
 
 
+@query("forest_replay")
+def _(spark, folder):
+    """Predictions of the model against walking down the trees of its table of nodes."""
+    train, test = _train_and_test(spark, folder)
+    forest = stability.fit_forest(train)
+    nodes = materialize(models.forest_nodes(forest, spark), "nodes")
+    replayed = models.replay_forest(test, nodes, stability.FOREST["maxDepth"]).select(
+        "article_title", F.col("probability").alias("again"), F.col("prediction").alias("predicted")
+    )
+    told = stability.predictions_of(forest, test).withColumn("p", vector_to_array("probability"))
+    same = [F.abs(F.col("p")[i] - F.col("again")[i]) < 1e-9 for i in (0, 1)]
+    return told.join(replayed, "article_title", "left").select(
+        "article_title", "stability_label", (same[0] & same[1]).alias("same_probability"),
+        # A tie of half and half may be told either way by the last digit of a sum.
+        ((F.col("prediction") == F.col("predicted")) | (F.abs(F.col("p")[0] - 0.5) < 1e-9)).alias("same_prediction"),
+    )
+
+
+@query("forest_importance")
+def _(spark, folder):
+    """Importances of the model against those summed up over its table of nodes."""
+    train, _ = _train_and_test(spark, folder)
+    forest = stability.fit_forest(train)
+    told = stability.feature_importance(forest, spark).select("feature", F.col("importance").alias("told"))
+    summed = models.importance_of(materialize(models.forest_nodes(forest, spark), "nodes"))
+    return summed.join(told, "feature").select("feature", (F.abs(F.col("told") - F.col("importance")) < 1e-9).alias("same_importance"))
+
+
+@query("regression_optimality")
+def _(spark, folder):
+    """That every coefficient is at the minimum of the loss, to the tolerance of the fit."""
+    train, _ = _train_and_test(spark, folder)
+    fitted = stability.fit_regression(train)
+    gaps = models.optimality(train, models.coefficient_table(fitted, spark))
+    return gaps.select("place", "feature", (F.col("gap") < fitted.getTol()).alias("at_minimum"))
+
+
 @query("model_metrics")
 def _(spark, folder):
     """Scores of the evaluators against the same scores by counting."""

@@ -145,3 +145,15 @@ def test_topic_tables(spark):
     assert chart[0].avg_edit_velocity == 2.0 and chart[1].avg_edit_velocity is None
     scores = {r.article_title: r.stability_score for r in charts.stability_score(df).collect()}
     assert scores == {"A": pytest.approx(0.8), "B": pytest.approx(0.6)}
+
+
+def test_only_used_columns_are_written_to_be_ordered(spark, revisions, monkeypatch):
+    from quillwatch.operators import sequences
+
+    written, write = [], sequences.materialize
+    monkeypatch.setattr(sequences, "materialize", lambda df, name: written.append(df.columns) or write(df, name))
+    table = revisions([("A", 1, "u", at("2024-01-01T00:00:00")), ("A", 2, "v", at("2024-01-02T00:00:00"))])
+    table = table.withColumns({"comment": F.lit("long"), "parentid": F.lit(1)})
+    assert features.article_metrics(table).first().total_edits == 2
+    assert features.time_between_revisions(table).first().median_gap_seconds == 86400
+    assert len(written) == 2 and not any({"comment", "parentid", "userid"} & set(c) for c in written)
