@@ -235,6 +235,8 @@ oracle("sink_parquet", f"SELECT {FEATURE_COLUMNS} FROM features")
 oracle("sink_partitioned_raw", "SELECT article_title AS safe_title, article_title, revid FROM rev")
 oracle("publish_documents", """
   SELECT name AS collection, "rows" AS documents FROM collections UNION ALL SELECT 'not_computed', 0""")
+oracle("document_store", """
+  SELECT article_title, total_edits, topic_category, (SELECT count(*) FROM features) AS documents FROM features""")
 oracle("predictions_union", """
   SELECT model, article_title, stability_label, CASE WHEN p >= 0.5 THEN 1.0::DOUBLE ELSE 0.0 END AS prediction,
          round(1 - p, 6) AS p_stable, round(p, 6) AS p_unstable

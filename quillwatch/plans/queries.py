@@ -228,6 +228,19 @@ def _(spark, folder):
     return sinks.publish_documents(spark, collections, fresh_path(spark, "documents"))
 
 
+@query("document_store")
+def _(spark, folder):
+    """A collection replaced twice and read back: the documents of the second table, and as many as were told."""
+    store = fresh_path(spark, "store")
+    table = materialize(b.article_features(spark, folder), "features")
+    wars = episodes.edit_wars(b.weekly(spark, folder))
+    for shown in (wars, table):
+        told = sinks.publish_documents(spark, {"articles": shown}, store, format="documents")
+    document = F.from_json("value", "article_title STRING, total_edits BIGINT, topic_category STRING")
+    back = spark.read.format("documents").option("collection", "articles").load(store).select(document.alias("d"))
+    return back.select("d.*", F.lit(told.first().documents).cast("bigint").alias("documents"))
+
+
 @query("predictions_union")
 def _(spark, folder):
     both = stability.predictions_union(

@@ -6,12 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDER: list[str] = []
-# Paths handed out inside each open ``scratch``.
-_OPEN: list[list[str]] = []
+# Paths handed out inside each ``scratch`` that this thread has open.
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
     path = f"{shared_folder(spark)}/quillwatch/{name}-{uuid.uuid4().hex}"
-    for paths in _OPEN:
+    for paths in _OPEN.get():
         paths.append(path)
     return path
 
@@ -52,16 +53,35 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(jvm_path, True)
 
 
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a written folder in the place of another. Between two renames the old one stands beside its place, from where
+    the next call takes it back if this one was ended there."""
+    files, to = _file_system(spark, target)
+    _, new = _file_system(spark, staged)
+    _, old = _file_system(spark, f"{to.getParent()}/.{to.getName()}-before")
+    if files.exists(old):
+        if files.exists(to):
+            files.delete(old, True)
+        else:
+            files.rename(old, to)
+    if files.exists(to) and not files.rename(to, old):
+        raise OSError(f"{target} cannot be replaced")
+    if not files.rename(new, to):
+        files.rename(old, to)
+        raise OSError(f"{staged} cannot take the place of {target}")
+    files.delete(old, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables written inside the block are deleted at its end. What is needed
     later has to be written elsewhere before that."""
     paths: list[str] = []
-    _OPEN.append(paths)
+    before = _OPEN.set((*_OPEN.get(), paths))
     try:
         yield
     finally:
-        _OPEN.pop()
+        _OPEN.reset(before)
         for path in paths:
             delete(spark, path)
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quillwatch.functions import safe_title
+from quillwatch.session import delete, replace_folder
+from quillwatch.sources import document_store
 
 
 def write_parquet(df: DataFrame, path: str) -> DataFrame:
@@ -27,6 +31,17 @@ def write_raw_by_title(records: DataFrame, path: str, mode: str = "overwrite") -
     )
 
 
+def as_documents(table: DataFrame) -> DataFrame:
+    """One JSON document per row in ``value``, nulls kept."""
+    return table.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def _counted(table: DataFrame) -> tuple[DataFrame, Observation]:
+    """The table, and the number of its rows as they pass by."""
+    seen = Observation()
+    return table.observe(seen, F.count(F.lit(1)).alias("documents")), seen
+
+
 def publish_documents(
     spark: SparkSession,
     collections: dict[str, DataFrame | None],
@@ -35,32 +50,35 @@ def publish_documents(
     **options,
 ) -> DataFrame:
     """Replace every collection by its table, one JSON document per row with nulls kept, and return
-    (collection, documents). A missing table is skipped and counts 0.
+    (collection, documents), counted while they were written. A missing table is skipped and counts 0.
 
-    ``format`` other than text hands the rows themselves to that connector, with ``options``
-    and the collection name.
+    Text is written beside the collection and takes its place when it is whole; a write that fails leaves what was there.
+    ``format`` documents writes to the store of ``document_store``, which readers see change at one moment. Any
+    other ``format`` hands the rows themselves to that connector, with ``options`` and the collection name.
     """
-    written: dict[str, DataFrame] = {}
+    counts = []
     for name, table in collections.items():
         if table is None:
+            counts.append((name, 0))
+            continue
+        if format == document_store.FORMAT:
+            document_store.register(spark)
+            as_documents(table).write.format(format).mode("overwrite").option("collection", name).save(folder)
+            counts.append((name, document_store.count(folder, name)))
             continue
         if format == "text":
-            target = f"{folder}/{name}"
-            document = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-            table.select(document.alias("value")).write.mode("overwrite").text(target)
-            written[name] = spark.read.text(target)
-        else:
-            table.write.format(format).mode("overwrite").options(collection=name, **options).save()
-            written[name] = table
-    counts = None
-    for name in collections:
-        if name in written:
-            one = written[name].agg(F.count(F.lit(1)).alias("documents"))
+            counted, seen = _counted(as_documents(table))
+            staged = f"{folder}/.{name}-{uuid.uuid4().hex}"
+            try:
+                counted.write.text(staged)
+                replace_folder(spark, staged, f"{folder}/{name}")
+            finally:
+                delete(spark, staged)
         else:
-            one = spark.range(1).select(F.lit(0).cast("bigint").alias("documents"))
-        one = one.select(F.lit(name).alias("collection"), "documents")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+            counted, seen = _counted(table)
+            counted.write.format(format).mode("overwrite").options(collection=name, **options).save()
+        counts.append((name, int(seen.get.get("documents") or 0)))
+    return spark.createDataFrame(counts, "collection STRING, documents BIGINT")
 
 
 def write_metrics(metrics: DataFrame, path: str) -> DataFrame:

@@ -1,7 +1,9 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
 
-from quillwatch.sources import raw, replies, sinks
+from quillwatch.sources import document_store, raw, replies, sinks
 
 
 def record(revid, title="A", **extra):
@@ -191,3 +193,70 @@ def test_a_giant_title_spreads_over_files(spark, tmp_path):
         spark.conf.set(setting, before)
     assert len(list((tmp_path / "raw" / "safe_title=Giant").glob("*.json"))) > 3
     assert spark.read.json(str(tmp_path / "raw")).count() == 60_000
+
+
+def documents_of(spark, folder, name):
+    return sorted(r.value for r in spark.read.format("documents").option("collection", name).load(str(folder)).collect())
+
+
+def failing(spark):
+    """Three documents, and a task that fails when it comes to the last."""
+    return spark.range(3).repartition(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("no such row"))).otherwise(F.col("id")).alias("a"))
+
+
+def test_a_collection_is_replaced_at_one_moment(spark, tmp_path):
+    publish = lambda table: sinks.publish_documents(spark, {"one": table, "none": None}, str(tmp_path), format="documents")
+    table = spark.range(100).repartition(7).selectExpr("id AS a", "if(id = 3, NULL, 'x\ny') AS b")
+    assert {r.collection: r.documents for r in publish(table).collect()} == {"one": 100, "none": 0}
+    first = documents_of(spark, tmp_path, "one")
+    assert len(first) == 100 and json.dumps({"a": 3, "b": None}, separators=(",", ":")) in first
+    running = spark.read.format("documents").option("collection", "one").load(str(tmp_path))
+    assert running.count() == 100
+    with pytest.raises(Exception, match="no such row"):
+        publish(failing(spark))
+    assert documents_of(spark, tmp_path, "one") == first
+    assert publish(table.filter("a < 2")).first().documents == 2
+    assert running.count() == 100  # a reader that has begun goes on with what it began with
+    assert len(documents_of(spark, tmp_path, "one")) == 2
+    for _ in range(3):
+        publish(table.filter("a < 0"))
+    assert documents_of(spark, tmp_path, "one") == [] and document_store.count(str(tmp_path), "one") == 0
+    # What failed or was replaced twice is gone.
+    assert len([f for f in (tmp_path / "one").iterdir() if f.name.startswith("manifest")]) == 2
+    assert len([f for f in (tmp_path / "one").iterdir() if f.name.startswith("data")]) <= 2
+
+
+def test_documents_are_appended(spark, tmp_path):
+    document_store.register(spark)
+    for k in range(3):
+        sinks.as_documents(spark.range(k, k + 2)).write.format("documents").mode("append").option("collection", "c").save(str(tmp_path))
+    assert documents_of(spark, tmp_path, "c") == sorted(json.dumps({"id": i}, separators=(",", ":")) for i in (0, 1, 1, 2, 2, 3))
+    assert document_store.count(str(tmp_path), "c") == 6
+    assert document_store.count(str(tmp_path), "absent") == 0
+
+
+def test_a_failed_text_publish_leaves_the_old_collection(spark, tmp_path):
+    publish = lambda table: sinks.publish_documents(spark, {"one": table}, str(tmp_path)).first().documents
+    assert publish(spark.range(5)) == 5
+    with pytest.raises(Exception, match="no such row"):
+        publish(failing(spark))
+    assert spark.read.text(f"{tmp_path}/one").count() == 5
+    assert publish(spark.range(0)) == 0 and spark.read.text(f"{tmp_path}/one").count() == 0
+    assert [f.name for f in tmp_path.iterdir()] == ["one"]
+
+
+def test_a_publish_that_was_ended_between_two_renames(spark, tmp_path):
+    publish = lambda table: sinks.publish_documents(spark, {"one": table}, str(tmp_path)).first().documents
+    publish(spark.range(5))
+    (tmp_path / "one").rename(tmp_path / ".one-before")
+    with pytest.raises(Exception, match="no such row"):
+        publish(failing(spark))
+    assert publish(spark.range(3)) == 3 and spark.read.text(f"{tmp_path}/one").count() == 3
+    assert [f.name for f in tmp_path.iterdir()] == ["one"]
+
+
+def test_a_connector_counts_what_it_wrote(spark, tmp_path):
+    # Each evaluation gives other rows: counting the source again would tell another number.
+    table = spark.range(1000).filter(F.rand() < 0.5)
+    counts = sinks.publish_documents(spark, {"one": table}, "", format="json", path=str(tmp_path / "c"))
+    assert counts.first().documents == spark.read.json(str(tmp_path / "c")).count()
