@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwatch.functions import safe_title
-from quillwatch.session import delete, replace_folder
+from quillwatch.session import delete, materialize, replace_folder
 from quillwatch.sources import document_store
 
 
@@ -36,12 +36,6 @@ def as_documents(table: DataFrame) -> DataFrame:
     return table.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def _counted(table: DataFrame) -> tuple[DataFrame, Observation]:
-    """The table, and the number of its rows as they pass by."""
-    seen = Observation()
-    return table.observe(seen, F.count(F.lit(1)).alias("documents")), seen
-
-
 def publish_documents(
     spark: SparkSession,
     collections: dict[str, DataFrame | None],
@@ -50,11 +44,12 @@ def publish_documents(
     **options,
 ) -> DataFrame:
     """Replace every collection by its table, one JSON document per row with nulls kept, and return
-    (collection, documents), counted while they were written. A missing table is skipped and counts 0.
+    (collection, documents): how many were stored. A missing table is skipped and counts 0.
 
     Text is written beside the collection and takes its place when it is whole; a write that fails leaves what was there.
     ``format`` documents writes to the store of ``document_store``, which readers see change at one moment. Any
-    other ``format`` hands the rows themselves to that connector, with ``options`` and the collection name.
+    other ``format`` hands the rows themselves to that connector, with ``options`` and the collection name; they are written
+    to a table of their own before, so that those counted are those handed over.
     """
     counts = []
     for name, table in collections.items():
@@ -67,17 +62,17 @@ def publish_documents(
             counts.append((name, document_store.count(folder, name)))
             continue
         if format == "text":
-            counted, seen = _counted(as_documents(table))
             staged = f"{folder}/.{name}-{uuid.uuid4().hex}"
             try:
-                counted.write.text(staged)
+                as_documents(table).write.text(staged)
+                counts.append((name, spark.read.text(staged).count()))
                 replace_folder(spark, staged, f"{folder}/{name}")
             finally:
                 delete(spark, staged)
         else:
-            counted, seen = _counted(table)
-            counted.write.format(format).mode("overwrite").options(collection=name, **options).save()
-        counts.append((name, int(seen.get.get("documents") or 0)))
+            rows = materialize(table, "handed-over")
+            rows.write.format(format).mode("overwrite").options(collection=name, **options).save()
+            counts.append((name, rows.count()))
     return spark.createDataFrame(counts, "collection STRING, documents BIGINT")
 
 
