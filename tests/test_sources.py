@@ -260,3 +260,37 @@ def test_a_connector_counts_what_it_wrote(spark, tmp_path):
     table = spark.range(1000).filter(F.rand() < 0.5)
     counts = sinks.publish_documents(spark, {"one": table}, "", format="json", path=str(tmp_path / "c"))
     assert counts.first().documents == spark.read.json(str(tmp_path / "c")).count()
+
+
+@pytest.mark.parametrize("kind", ["plain", "gz", "bz2"])
+def test_compressed_dumps_in_small_splits(spark, tmp_path, kind):
+    import bz2
+    import gzip
+    import random
+
+    rng = random.Random(6)
+    pages, expected, number = [], [], 0
+    for p in range(40):
+        revisions = []
+        for _ in range(rng.choice([1, 2, 60])):
+            number += 1
+            noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(2000))
+            revisions.append(f"<revision><id>{number}</id><timestamp>t</timestamp><contributor><username>u</username><id>3</id></contributor><text bytes=\"{number}\">{noise}</text></revision>")
+            expected.append((f"Title_{p}", number, number))
+        pages.append(f"<page><title>Title {p}</title><id>{p}</id>\n{''.join(revisions)}\n</page>")
+    data = ("<mediawiki>\n<siteinfo/>\n" + "\n".join(pages) + "\n</mediawiki>").encode()
+    name, packed = {"plain": ("d.xml", data), "gz": ("d.xml.gz", gzip.compress(data)), "bz2": ("d.xml.bz2", bz2.compress(data, 1))}[kind]
+    (tmp_path / name).write_bytes(packed)
+    settings = {"spark.sql.files.maxPartitionBytes": "60k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = raw.scan_xml_dump(spark, str(tmp_path))
+        rows = [(r.article_title, r.revid, r["size"]) for r in found.collect()]
+        splits = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(rows) == sorted(expected)
+    assert splits == 1 if kind == "gz" else splits > 10
