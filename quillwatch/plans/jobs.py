@@ -18,7 +18,8 @@ from quillwatch.operators import (
     charts, cleaning, coediting, episodes, features, graph, models, quality, stability, topics,
 )
 from quillwatch.session import exists, materialize, scratch
-from quillwatch.sources import paging, raw, replies, sinks
+from quillwatch.sources import manifest, paging, raw, replies, sinks
+from quillwatch.streaming import current
 from quillwatch.streaming import weekly as stream
 
 
@@ -41,6 +42,7 @@ class Feeds:
         return {n: f for n, f in json.items() if not (self.xml and n == "revisions")}
 
 
+KINDS = ("revisions", "entities", "pageviews")
 FLATTEN = {
     "entities": (replies.flatten_entities, raw.scan_entities),
     "pageviews": (replies.flatten_pageviews, raw.scan_pageviews),
@@ -116,8 +118,9 @@ def build_features(
 
 def ingest(spark: SparkSession, feeds: Feeds, out: str) -> DataFrame:
     """Per file of each raw feed: records, records with a key, unreadable records. The totals
-    are written beside them."""
-    counts = sinks.write_parquet(raw.feed_counts(spark, feeds.counted(), feeds.pretty), f"{out}/ingest_counts")
+    are written beside them. Called again with the same ``out``, it reads only files that are new or changed."""
+    found = manifest.feed_counts(spark, feeds.counted(), f"{out}/ingest_state", feeds.pretty)
+    counts = sinks.write_parquet(found, f"{out}/ingest_counts")
     sinks.write_parquet(raw.totals_of(counts), f"{out}/ingest_totals")
     return counts
 
@@ -262,6 +265,12 @@ def follow(spark: SparkSession, feeds: Feeds, out: str) -> DataFrame:
     return stream.run_available(stream.weekly_edit_stream(revisions), f"{out}/weekly_stream")
 
 
+def follow_current(spark: SparkSession, feeds: Feeds, out: str) -> DataFrame:
+    """All weeks so far, those that are still running included, after adding what has come in since the last call."""
+    revisions = cleaning.clean_revisions(raw.stream_revisions(spark, feeds.revisions))
+    return current.weeks(spark, current.follow(revisions, f"{out}/current_weeks"))
+
+
 def main() -> None:
     p = argparse.ArgumentParser(description=__doc__)
     for name in ("revisions", "entities", "pageviews", "topics", "out"):
@@ -272,7 +281,8 @@ def main() -> None:
     p.add_argument("--pretty", action="store_true", help="JSON documents are spread over lines")
     p.add_argument("--xml", action="store_true", help="revisions are XML dumps")
     p.add_argument("--follow", action="store_true", help="only bring the weekly statistics up to date")
-    for kind in FLATTEN:
+    p.add_argument("--current", action="store_true", help="the same with the weeks that are still running")
+    for kind in KINDS:
         p.add_argument(f"--{kind}-replies", help=f"Parquet table (article_title, reply) to add to the {kind} first")
     a = p.parse_args()
     spark = (
@@ -281,11 +291,13 @@ def main() -> None:
         .getOrCreate()
     )
     feeds = Feeds(a.revisions, a.entities, a.pageviews, a.topics, a.pretty, a.xml)
-    for kind in FLATTEN:
+    for kind in KINDS:
         if path := getattr(a, f"{kind}_replies"):
             with scratch(spark):
                 add_replies(spark, feeds, kind, spark.read.parquet(path))
-    if a.follow:
+    if a.current:
+        follow_current(spark, feeds, a.out).show(100, False)
+    elif a.follow:
         follow(spark, feeds, a.out).show(100, False)
     else:
         run(spark, feeds, a.out, a.timeline, a.max_revisions, a.top_editors or None).show(100, False)

@@ -224,6 +224,11 @@ for name, cap in (("cap_revisions", 5000), ("cap_revisions_short", SHORT_CAP)):
   QUALIFY row_number() OVER (PARTITION BY article_title ORDER BY edit_timestamp, revid) <= {cap}""")
 oracle("incremental_new_keys", """
   SELECT DISTINCT article_title FROM ent WHERE article_title NOT IN (SELECT article_title FROM rev)""")
+oracle("manifest_changes", """
+  SELECT article_title AS path,
+         CASE WHEN pageid % 4 = 0 THEN 'new' WHEN pageid % 5 = 0 THEN 'gone' WHEN pageid % 3 = 0 THEN 'changed' ELSE 'same' END AS change,
+         (sum(length(revid::VARCHAR) + 1) * CASE WHEN pageid % 5 <> 0 AND pageid % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS length
+  FROM raw_rev WHERE pageid % 4 <> 0 OR pageid % 5 <> 0 GROUP BY article_title, pageid""")
 oracle("ingest_counts", """
   SELECT '100% ' || article_title || ': why?' AS safe_title, count(*) AS records, count(revid) AS keyed_records,
          0::BIGINT AS unreadable FROM rev GROUP BY 1""")
@@ -432,3 +437,21 @@ oracle("dq_summary", """
 oracle("stream_weekly_edit_wars", f"""
   SELECT {WEEK_COLUMNS} FROM wars
   WHERE week_start + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
+FOLLOWED = f"""
+followed AS (
+  SELECT *, date_trunc('week', edit_timestamp)::DATE AS week_start,
+         revid % 3 = 0 AND date_trunc('week', edit_timestamp) + INTERVAL 7 DAY
+           <= (SELECT max(edit_timestamp) - INTERVAL 1 DAY FROM rev WHERE revid % 3 <> 0) AS late
+  FROM rev),
+shown AS (
+  SELECT article_title, week_start, count(*) AS weekly_edits, count(*) FILTER (WHERE is_revert) AS weekly_reverts,
+         count(DISTINCT "user") AS weekly_editors,
+         count(*) FILTER (WHERE is_revert) / count(*)::DOUBLE AS weekly_reversion_rate,
+         week_start + INTERVAL 7 DAY <= (SELECT max(edit_timestamp) - INTERVAL 1 DAY FROM rev) AS closed
+  FROM followed WHERE NOT late GROUP BY 1, 2)"""
+ORACLES["stream_current_weeks"] = f"WITH {BASE}, {FOLLOWED} SELECT {WEEK_COLUMNS}, closed FROM shown"
+ORACLES["stream_late_edits"] = f"""WITH {BASE}, {FOLLOWED}
+  SELECT article_title, revid, edit_timestamp, 'late' AS reason, 1::BIGINT AS batch FROM followed WHERE late"""
+ORACLES["stream_totals"] = f"""WITH {BASE}, {FOLLOWED}
+  SELECT CASE WHEN closed THEN 'closed' ELSE 'open' END AS state, sum(weekly_edits)::BIGINT AS edits FROM shown GROUP BY 1
+  UNION ALL SELECT 'apart', count(*) FROM followed WHERE late UNION ALL SELECT 'all', count(*) FROM rev"""

@@ -14,7 +14,8 @@ from quillwatch.operators import (
 )
 from quillwatch.plans import bindings as b
 from quillwatch.session import fresh_path, materialize
-from quillwatch.sources import paging, raw, replies, sinks
+from quillwatch.sources import manifest, paging, raw, replies, sinks
+from quillwatch.streaming import current
 from quillwatch.streaming import weekly as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +169,25 @@ def _(spark, folder):
     )
 
 
+def _titles_manifest(spark, folder, kept, doubled) -> DataFrame:
+    """The files of a folder with a part per title; a doubled title holds its records twice."""
+    path = fresh_path(spark, "titles")
+    records = b.raw_revisions(spark, folder).filter(kept).select("article_title", "pageid", "revid")
+    again = records.filter(doubled)
+    records.unionByName(again).select("article_title", F.col("revid").cast("string")).write.partitionBy("article_title").text(path)
+    files = raw.file_manifest(spark, {"titles": path})
+    title = F.regexp_extract("file", "article_title=([^/]+)/", 1)
+    return files.groupBy("dataset", title.alias("path")).agg(F.sum("length").alias("length"), F.lit(None).cast("timestamp").alias("modified"))
+
+
+@query("manifest_changes")
+def _(spark, folder):
+    page = F.col("pageid")
+    before = _titles_manifest(spark, folder, page % 4 != 0, F.lit(False))
+    now = _titles_manifest(spark, folder, page % 5 != 0, page % 3 == 0)
+    return manifest.changes(before, now).select("path", "change", "length")
+
+
 @query("scan_xml_dump")
 def _(spark, folder):
     records = b.raw_revisions(spark, folder)
@@ -771,3 +791,36 @@ def _(spark, folder):
     schema = b.table(spark, folder, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet*")
     return episodes.edit_wars(stream.run_available(stream.weekly_edit_stream(b.as_revisions(events))))
+
+
+def _followed(spark, folder) -> str:
+    """A store that has followed the edits in two steps, a third of them in the second."""
+    events, store, log = b.table(spark, folder, "events"), None, fresh_path(spark, "log")
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        events.filter(part).write.mode("append").parquet(log)
+        store = current.follow(b.as_revisions(spark.readStream.schema(events.schema).parquet(log)), store)
+    return store
+
+
+@query("stream_current_weeks")
+def _(spark, folder):
+    return current.weeks(spark, _followed(spark, folder))
+
+
+@query("stream_late_edits")
+def _(spark, folder):
+    return current.set_apart(spark, _followed(spark, folder)).select("article_title", "revid", "edit_timestamp", "reason", "batch")
+
+
+@query("stream_totals")
+def _(spark, folder):
+    store = _followed(spark, folder)
+    current.compact(spark, store)
+    counted = current.weeks(spark, store).groupBy("closed").agg(F.sum("weekly_edits").alias("edits"))
+    state = F.when(F.col("closed"), "closed").otherwise("open").alias("state")
+    total = current.totals(spark, store)
+    return (
+        counted.select(state, "edits")
+        .unionByName(total.select(F.lit("apart").alias("state"), F.col("apart").alias("edits")))
+        .unionByName(total.select(F.lit("all").alias("state"), "edits"))
+    )

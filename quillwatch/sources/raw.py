@@ -87,7 +87,7 @@ def scan_xml_dump(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def file_manifest(spark: SparkSession, datasets: dict[str, str]) -> DataFrame:
+def file_manifest(spark: SparkSession, datasets: dict[str, str | list[str]]) -> DataFrame:
     """(dataset, path, length, modified, file) of every file a scan of each dataset's path would
     read; ``file`` is the encoded name that scans report. File contents are not read."""
     listings = [
@@ -106,7 +106,7 @@ def file_manifest(spark: SparkSession, datasets: dict[str, str]) -> DataFrame:
     return out
 
 
-def ingest_counts(spark: SparkSession, path: str, key_field: str, pretty: bool = False) -> DataFrame:
+def ingest_counts(spark: SparkSession, path: str | list[str], key_field: str, pretty: bool = False) -> DataFrame:
     """(file, records, keyed_records, unreadable) of every file a scan of ``path`` would read:
     arrays count their elements, objects count one; what cannot be parsed is ``unreadable``, and
     a file that cannot be opened has no records."""

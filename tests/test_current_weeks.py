@@ -1,0 +1,117 @@
+"""Running weeks against the batch statistics, batch by batch."""
+
+import random
+import shutil
+
+import pytest
+from conftest import REVISIONS, later
+from pyspark.sql import functions as F
+
+from quillwatch.operators import episodes
+from quillwatch.streaming import current
+
+WEEK = 7 * 86_400
+
+
+def edits(seed, n, upto, first_id):
+    """Edits of the weeks before ``upto``, a few without a time or a user."""
+    rng = random.Random(seed)
+    return [
+        (rng.choice("ABC"), first_id + i, rng.choice(["u", "v", "w", None]), 1,
+         None if rng.random() < 0.02 else later(rng.random() * upto * WEEK), 1, rng.random() < 0.3)
+        for i in range(n)
+    ]
+
+
+BATCHES = [edits(1, 80, 1.2, 0), edits(2, 90, 3.5, 1000), edits(3, 0, 1, 2000), edits(4, 70, 5.1, 3000)]
+
+
+def expected(batches):
+    """(article, week, edits, reverts, editors, closed) and the ids set apart, one batch after the other."""
+    latest, weeks, apart = None, {}, {}
+    for rows in batches:
+        for title, revid, user, _, time, _, revert in rows:
+            week = None if time is None else int((time - later(0)).total_seconds() // WEEK)
+            if week is None or latest is not None and (week + 1) * WEEK <= latest - 86_400:
+                apart[revid] = "untimed" if week is None else "late"
+            else:
+                weeks.setdefault((title, week), []).append((user, revert))
+        times = [(r[4] - later(0)).total_seconds() for r in rows if r[4]]
+        latest = max([*times, *([latest] if latest is not None else [])], default=None)
+    closed = lambda week: latest is not None and (week + 1) * WEEK <= latest - 86_400
+    return sorted(
+        (t, str(later(w * WEEK).date()), len(es), sum(r for _, r in es), len({u for u, _ in es if u}), closed(w)) for (t, w), es in weeks.items()
+    ), apart
+
+
+def shown(spark, store):
+    return sorted(
+        (r.article_title, str(r.week_start), r.weekly_edits, r.weekly_reverts, r.weekly_editors, r.closed) for r in current.weeks(spark, store).collect()
+    ), {r.revid: r.reason for r in current.set_apart(spark, store).collect()}
+
+
+def add(spark, store, k):
+    current.apply_batch(spark, store, spark.createDataFrame(BATCHES[k], REVISIONS), k)
+
+
+@pytest.mark.parametrize("compacted", [(), (1,), (0, 1, 2, 3)])
+def test_batches_and_replays(spark, tmp_path, compacted):
+    store = str(tmp_path)
+    for k in range(len(BATCHES)):
+        for _ in range(2):  # given again, a batch replaces what it wrote
+            add(spark, store, k)
+            assert shown(spark, store) == expected(BATCHES[: k + 1])
+        if k in compacted:
+            current.compact(spark, store)
+            add(spark, store, k)
+            assert shown(spark, store) == expected(BATCHES[: k + 1])
+    total = current.totals(spark, store).first()
+    counted = current.weeks(spark, store).agg(F.sum("weekly_edits")).first()[0]
+    assert total.edits == sum(map(len, BATCHES)) == counted + total.apart
+    assert {"late", "untimed"} == set(shown(spark, store)[1].values())
+
+
+def test_closed_weeks_do_not_change(spark, tmp_path):
+    store, known = str(tmp_path), set()
+    for k in range(len(BATCHES)):
+        add(spark, store, k)
+        now = {row for row in shown(spark, store)[0] if row[-1]}
+        assert known <= now
+        known = now
+    assert known
+
+
+def test_a_batch_without_its_mark_does_not_count(spark, tmp_path):
+    store = str(tmp_path)
+    add(spark, store, 0)
+    add(spark, store, 1)
+    shutil.rmtree(tmp_path / "marks" / "batch=1")
+    assert shown(spark, store) == expected(BATCHES[:1])
+    add(spark, store, 1)
+    assert shown(spark, store) == expected(BATCHES[:2])
+
+
+def test_a_stream_is_followed_in_steps(spark, tmp_path):
+    log, store = str(tmp_path / "log"), str(tmp_path / "store")
+    for k in (0, 1, 3):
+        spark.createDataFrame(BATCHES[k], REVISIONS).coalesce(1).write.mode("append").parquet(log)
+        for _ in range(2):  # nothing new: nothing happens
+            current.follow(spark.readStream.schema(REVISIONS).parquet(log), store)
+    assert shown(spark, store) == expected([BATCHES[k] for k in (0, 1, 3)])
+
+
+def test_all_weeks_in_time_are_those_of_the_batch(spark, tmp_path):
+    add(spark, str(tmp_path), 1)
+    timed = spark.createDataFrame([r for r in BATCHES[1] if r[4]], REVISIONS)
+    columns = ["article_title", "week_start", "weekly_edits", "weekly_reverts", "weekly_editors", "weekly_reversion_rate"]
+    rows = lambda df: sorted(map(tuple, df.select(columns).collect()))
+    assert rows(current.weeks(spark, str(tmp_path))) == rows(episodes.weekly_edit_stats(timed))
+
+
+def test_an_empty_store(spark, tmp_path):
+    store = str(tmp_path / "none")
+    assert shown(spark, store) == ([], {})
+    assert tuple(current.totals(spark, store).first()) == (0, 0)
+    current.compact(spark, store)
+    current.apply_batch(spark, store, spark.createDataFrame([], REVISIONS), 0)
+    assert shown(spark, store) == ([], {})
