@@ -496,6 +496,25 @@ def test_repeats_match_brute_force(spark, monkeypatch, window, piece):
     assert all(r.n_removed == r.n_words - len(r.text.split()) for r in got)
 
 
+def test_rows_of_one_id_with_different_texts(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"x{rng.randrange(10**6)}" for _ in range(n))
+    shared, alone = words(25), [words(33) for _ in range(3)]
+    rows = [(1, alone[0]), (1, f"{shared} {alone[1]}"), (2, f"{alone[2]} {shared}"), (2, f"{alone[2]} {shared}"), (3, None), (3, "")]
+    for seed in range(4):
+        docs = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "doc_id BIGINT, text STRING").repartition(4)
+        got = sorted((r.doc_id, r.n_removed, r.text) for r in substrings.remove_repeats(docs, 20).collect())
+        assert got == sorted([(1, 0, alone[0]), (1, 0, f"{shared} {alone[1]}"), (2, 25, alone[2]), (2, 25, alone[2]), (3, 0, ""), (3, 0, "")])
+
+
+def test_each_text_is_hashed_in_one_pass_for_anchors_and_one_for_windows(spark, tmp_path):
+    spark.createDataFrame([(i, "a b c d " * 9) for i in range(40)], "doc_id BIGINT, text STRING").write.parquet(f"{tmp_path}/d")
+    cleaned = substrings.remove_repeats(spark.read.parquet(f"{tmp_path}/d"))
+    cleaned.collect()
+    plan = cleaned._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") <= 5 + plan.count("ReusedExchange")
+
+
 # URL filters
 
 
