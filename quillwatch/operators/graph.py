@@ -9,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwatch.operators.sequences import with_position
+from quillwatch.session import materialize
+
+PAGE = 1000
+
 
 def symmetric_adjacency(edges: DataFrame) -> DataFrame:
     """Both directions of every edge, from a single pass over the edges."""
@@ -35,6 +40,29 @@ def neighbour_lists(adjacency: DataFrame) -> DataFrame:
     return adjacency.groupBy("editor").agg(F.array_sort(F.collect_set("neighbor")).alias("neighbors"))
 
 
+def neighbour_pages(adjacency: DataFrame, size: int = PAGE, tasks: int | None = None) -> DataFrame:
+    """Sorted neighbours of each editor in pages of ``size`` names, numbered from 0 on: lists of bounded length in a graph
+    of any size. Places come from ranges of the whole order, so a hub is cut like anything else."""
+    placed = with_position(adjacency.select("editor", "neighbor"), "editor", "neighbor", tasks=tasks)
+    page = F.floor(F.col("position") / size).alias("page")
+    return placed.groupBy("editor", page).agg(F.sort_array(F.collect_list("neighbor")).alias("neighbors"))
+
+
+def edge_neighbour_pages(edges: DataFrame, size: int = PAGE, tasks: int | None = None) -> DataFrame:
+    """Both ends' neighbours on every edge, page by page: a row for each page that either end has, the list of the
+    end that has fewer pages being empty behind its last. Takes written edges, as all operators here."""
+    pages = materialize(neighbour_pages(symmetric_adjacency(edges), size, tasks), "neighbour-pages")
+    count = pages.groupBy("editor").agg(F.max("page").alias("last"))
+    last = lambda side: count.select(F.col("editor").alias(f"editor_{side}"), F.col("last").alias(f"last_{side}"))
+    ends = edges.select("editor_a", "editor_b").join(last("a"), "editor_a").join(last("b"), "editor_b")
+    both = ends.select("editor_a", "editor_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest("last_a", "last_b"))).alias("page"))
+    for side in ("a", "b"):
+        own = pages.select(F.col("editor").alias(f"editor_{side}"), "page", F.col("neighbors").alias(f"neighbors_{side}"))
+        both = both.join(own, [f"editor_{side}", "page"], "left")
+    none = F.array().cast("array<string>")
+    return both.select("editor_a", "editor_b", "page", *[F.coalesce(f"neighbors_{s}", none).alias(f"neighbors_{s}") for s in ("a", "b")])
+
+
 def edge_neighbours(edges: DataFrame) -> DataFrame:
     """Both ends' neighbour lists on every edge, in a graph of the top k editors. For graphs of
     any size, ``common_neighbours`` has the counts that come of intersecting them."""

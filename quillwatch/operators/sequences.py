@@ -83,6 +83,20 @@ def first_of_each(
     )
 
 
+def with_position(rows: DataFrame, key: str, order: str, name: str = "position", tasks: int | None = None) -> DataFrame:
+    """Add the place of each row among those of its key, from 0 on, in the order of another column, nulls first."""
+    in_order = [F.asc_nulls_first(key), F.asc_nulls_first(order)]
+    cut = ranges(rows, in_order, tasks)
+    before = F.sum("_n").over(Window.partitionBy(key).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
+    earlier = cut.groupBy(key, _RANGE).agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col(key).alias("_key"), F.col(_RANGE).alias("_at"), F.coalesce(before, F.lit(0)).alias("_sofar")
+    )
+    here = (F.col(_RANGE) == F.col("_at")) & F.col(key).eqNullSafe(F.col("_key"))
+    rank = F.row_number().over(Window.partitionBy(_RANGE, key).orderBy(F.asc_nulls_first(order)))
+    # The place is taken within a range before what came earlier is looked up.
+    return cut.withColumn("_rank", rank).join(earlier, here).select(*rows.columns, (F.col("_rank") - 1 + F.col("_sofar")).alias(name))
+
+
 def length_change(revisions: DataFrame, **split) -> DataFrame:
     """Bytes each edit adds or removes. The first edit of an article counts its whole size,
     and so does an edit whose predecessor has no known size."""

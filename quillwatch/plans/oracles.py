@@ -3,7 +3,7 @@ plans: naive self joins, whole-table windows, correlated counts."""
 
 from __future__ import annotations
 
-from quillwatch.plans.queries import PRESENT_TARGET, SHORT_CAP, TIMELINE_TARGET
+from quillwatch.plans.queries import PRESENT_TARGET, SHORT_CAP, SHORT_PAGE, TIMELINE_TARGET
 
 ORACLES: dict[str, str] = {}
 
@@ -315,6 +315,15 @@ oracle("top_edges", "SELECT * FROM top_e")
 oracle("symmetric_adjacency", "SELECT * FROM adj")
 oracle("editor_degree", "SELECT * FROM degrees")
 oracle("neighbour_lists", "SELECT editor, string_agg(neighbor, ',' ORDER BY neighbor) AS neighbors FROM adj GROUP BY 1")
+_PAGES = f""", placed AS (
+    SELECT editor, neighbor, (row_number() OVER (PARTITION BY editor ORDER BY neighbor) - 1) // {SHORT_PAGE} AS page
+    FROM (SELECT DISTINCT editor, neighbor FROM adj)),
+  pages AS (SELECT editor, page, string_agg(neighbor, ',' ORDER BY neighbor) AS neighbors, count(*)::INTEGER AS names FROM placed GROUP BY 1, 2)"""
+oracle("neighbour_pages", f"{_PAGES} SELECT * FROM pages")
+oracle("edge_neighbour_pages", f"""{_PAGES}
+  SELECT editor_a, editor_b, e.page, coalesce(x.neighbors, '') AS neighbors_a, coalesce(y.neighbors, '') AS neighbors_b
+  FROM (SELECT DISTINCT editor_a, editor_b, page FROM edges JOIN pages ON editor IN (editor_a, editor_b)) e
+  LEFT JOIN pages x ON x.editor = editor_a AND x.page = e.page LEFT JOIN pages y ON y.editor = editor_b AND y.page = e.page""")
 oracle("common_neighbours", "SELECT * FROM common")
 oracle("editor_triangles", "SELECT * FROM corner")
 oracle("clustering_coefficient", "SELECT editor, round(clustering, 6) AS clustering_coefficient FROM net")

@@ -480,6 +480,22 @@ def _(spark, folder):
     return lists.withColumn("neighbors", F.array_join("neighbors", ","))
 
 
+# Pages of few names, so that editors of small tables have several.
+SHORT_PAGE = 7
+
+
+@query("neighbour_pages")
+def _(spark, folder):
+    pages = graph.neighbour_pages(graph.symmetric_adjacency(b.edges(spark, folder)), SHORT_PAGE)
+    return pages.select("editor", "page", F.array_join("neighbors", ",").alias("neighbors"), F.size("neighbors").alias("names"))
+
+
+@query("edge_neighbour_pages")
+def _(spark, folder):
+    joined = graph.edge_neighbour_pages(_edges(spark, folder), SHORT_PAGE)
+    return joined.select("editor_a", "editor_b", "page", *[F.array_join(f"neighbors_{s}", ",").alias(f"neighbors_{s}") for s in ("a", "b")])
+
+
 @query("common_neighbours")
 def _(spark, folder):
     return graph.common_neighbours(_edges(spark, folder))

@@ -78,3 +78,23 @@ def test_summary_and_top_edges(spark):
     edges = edge_table(spark, [("a", "b"), ("b", "c"), ("c", "d")])
     assert tuple(charts.graph_summary(edges).first()) == (4, 3, 3)
     assert [r.co_edit_count for r in charts.top_edges(edges, 2).collect()] == [3, 2]
+
+
+@pytest.mark.parametrize("tasks", [1, 6])
+def test_no_page_is_longer_than_its_size(spark, tasks):
+    rng = random.Random(tasks)
+    pairs = {("hub", f"e{i:03}") for i in range(400)} | {tuple(sorted(rng.sample([f"e{i:03}" for i in range(400)], 2))) for _ in range(900)}
+    edges = spark.createDataFrame([(min(p), max(p), 1) for p in pairs], "editor_a STRING, editor_b STRING, co_edit_count INT")
+    neighbours = {}
+    for a, b in pairs:
+        neighbours.setdefault(a, set()).add(b)
+        neighbours.setdefault(b, set()).add(a)
+    cut = lambda names: [sorted(names)[i : i + 50] for i in range(0, len(names), 50)]
+    pages = graph.neighbour_pages(graph.symmetric_adjacency(edges), 50, tasks).collect()
+    assert {(r.editor, r.page): r.neighbors for r in pages} == {(e, k): p for e, n in neighbours.items() for k, p in enumerate(cut(n))}
+    joined = graph.edge_neighbour_pages(edges, 50, tasks).collect()
+    for r in joined:
+        for names, editor in ((r.neighbors_a, r.editor_a), (r.neighbors_b, r.editor_b)):
+            assert names == dict(enumerate(cut(neighbours[editor]))).get(r.page, [])
+    most = lambda a, b: max(len(cut(neighbours[a])), len(cut(neighbours[b])))
+    assert len(joined) == sum(most(a, b) for a, b in pairs)
