@@ -24,9 +24,7 @@ CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assis
 
 
 def op1_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    vocabulary, parameters = pseudo_likelihood.train(docs)
-    return pseudo_likelihood.score(docs.select("doc_id", "text"), vocabulary, parameters).select("doc_id", "n_tokens", "log_likelihood")
+    return pseudo_likelihood.train_and_score(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:

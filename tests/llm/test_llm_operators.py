@@ -666,16 +666,16 @@ def test_every_position_is_a_target_once(spark, monkeypatch):
     weights = []
     real = pseudo_likelihood.train_round
 
-    def counted(docs, vocabulary, parameters, number, text_column, rounds):
+    def counted(numbers, parameters, number, rounds, column):
         def run(batches):
             for batch in batches:
                 n = 0
-                for _, words, begins in text.hashed_words([(t or "").encode() for t in batch.column(0).to_pylist()], text.FOLDED):
-                    n += int((pseudo_likelihood.round_of(words, begins, rounds) == number).sum())
+                for own, begins in pseudo_likelihood._number_rows(batch, column):
+                    n += int((pseudo_likelihood.round_of(own, begins, rounds) == number).sum())
                 yield pa.RecordBatch.from_pydict({"n": [n]})
 
-        weights.append(sum(r.n for r in docs.select(text_column).mapInArrow(run, "n long").collect()))
-        return real(docs, vocabulary, parameters, number, text_column, rounds)
+        weights.append(sum(r.n for r in numbers.select(column).mapInArrow(run, "n long").collect()))
+        return real(numbers, parameters, number, rounds, column)
 
     monkeypatch.setattr(pseudo_likelihood, "train_round", counted)
     pseudo_likelihood.train(odd.frame(spark, rows))
@@ -683,6 +683,64 @@ def test_every_position_is_a_target_once(spark, monkeypatch):
     assert sum(weights) == sum(len((t or "").split()) for _, t, *_ in rows)
 
 
+def numbers_of(vocabulary, t):
+    return [int(n) for _, words, _ in text.hashed_words([(t or "").encode()], text.FOLDED) for n in vocabulary.numbers_of(words)]
+
+
+def test_a_round_is_the_average_of_plain_training(spark, tmp_path):
+    """Each file is a task; its texts are trained on in batches, one position at a time, without any of the array code."""
+    rows = [[t for _, t, *_ in odd.documents(seed, 12)] for seed in (1, 2, 3)]
+    docs = spark.createDataFrame([(t,) for part in rows for t in part], "text STRING")
+    vocabulary, begin = pseudo_likelihood.vocabulary_of(docs)
+    for part in rows:
+        own = [(bytes(numbers_of(vocabulary.value, t)),) for t in part]
+        spark.createDataFrame(own, "numbers BINARY").coalesce(1).write.mode("append").parquet(f"{tmp_path}/n")
+    numbers = spark.read.parquet(f"{tmp_path}/n")
+    tasks = [[bytes(r.numbers) for r in p] for p in numbers.rdd.glom().collect() if p]
+    rounds, total, weights = 3, 0.0, 0
+    for task in tasks:
+        net = pseudo_likelihood.unpack(begin)
+        squares = {n: np.full(x.shape, 0.1, dtype=np.float32) for n, x in net.items()}
+        chosen = []
+        for t in task:
+            own = [256, 256, *t, 256, 256]
+            which = pseudo_likelihood.round_of(np.array(list(t), dtype=np.int32), np.array([0, len(t)]), rounds) if t else []
+            chosen += [([own[i], own[i + 1], own[i + 3], own[i + 4]], t[i]) for i in range(len(t)) if which[i] == 1]
+        for at in range(0, len(chosen), pseudo_likelihood.BATCH):
+            some = chosen[at : at + pseudo_likelihood.BATCH]
+            steps = {n: np.zeros(x.shape) for n, x in net.items()}
+            for around, target in some:
+                x = net["embedding"][around].ravel()
+                hidden = np.tanh(x @ net["inner"] + net["inner_bias"])
+                p = np.exp(hidden @ net["outer"] + net["outer_bias"])
+                error = p / p.sum() - np.eye(len(p))[target]
+                back = (net["outer"] @ error) * (1 - hidden**2)
+                steps["outer"] += np.outer(hidden, error)
+                steps["outer_bias"] += error
+                steps["inner"] += np.outer(x, back)
+                steps["inner_bias"] += back
+                for k, word in enumerate(around):
+                    steps["embedding"][word] += (net["inner"] @ back).reshape(4, -1)[k]
+            for n, step in steps.items():
+                squares[n] = squares[n] + (step / len(some)) ** 2
+                net[n] = net[n] - pseudo_likelihood.RATE * (step / len(some)) / np.sqrt(squares[n] + 1e-6)
+            net["outer"], net["outer_bias"] = net["outer"].clip(-2, 2), net["outer_bias"].clip(-20, 20)
+        total, weights = total + pseudo_likelihood.pack(net) * len(chosen), weights + len(chosen)
+    got = pseudo_likelihood.train_round(numbers, begin, 1, rounds)
+    assert np.abs(got - begin).max() > 0.003
+    assert np.allclose(got, total / weights, atol=2e-5)
+
+
+def test_the_corpus_is_scored_as_by_its_own_network(spark):
+    docs = odd.frame(spark, odd.odd_rows(4)).drop("lang", "source", "n_chars")
+    own = pseudo_likelihood.train_and_score(docs)
+    assert own.columns == ["doc_id", "n_tokens", "log_likelihood"]
+    other = pseudo_likelihood.score(docs, *pseudo_likelihood.train(docs))
+    rows = lambda df: sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, round(r.log_likelihood, 2)) for r in df.collect())
+    assert [r[:3] for r in rows(own)] == [r[:3] for r in rows(other)]
+    assert [r[3] for r in rows(own)] == pytest.approx([r[3] for r in rows(other)], rel=0.05, abs=1)
+
+
 def test_training_gradient():
     rng = np.random.default_rng(0)
     counts = [5] * pseudo_likelihood.FREQUENT
