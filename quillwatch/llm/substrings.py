@@ -90,13 +90,15 @@ def _batch(**columns: np.ndarray) -> pa.RecordBatch:
 
 def _sent(place: str, first: pa.RecordBatch, packed: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Rows (hash, place, key) and rows (key, places) as one kind, (hash, place, key, places). The latter are dealt out by their
-    key in place of a hash."""
+    key in place of a hash. Places are bytes here: the time that Spark needs to hand lists that are mostly null to a
+    task grows with the square of the batch."""
     kind = first.schema.field(place).type
-    none = lambda n, t: pa.nulls(n, t)
     names = ["hash", place, "key", "places"]
-    yield pa.RecordBatch.from_arrays([*first.columns, none(first.num_rows, pa.list_(pa.int32()))], names=names)
+    yield pa.RecordBatch.from_arrays([*first.columns, pa.nulls(first.num_rows, pa.binary())], names=names)
     key, places = packed.columns
-    yield pa.RecordBatch.from_arrays([key, none(packed.num_rows, kind), key, places.cast(pa.list_(pa.int32()))], names=names)
+    values, borders = places.values.to_numpy(), places.offsets.to_numpy()
+    data = [values[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:])]
+    yield pa.RecordBatch.from_arrays([key, pa.nulls(packed.num_rows, kind), key, pa.array(data, pa.binary())], names=names)
 
 
 def _packed(keys: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
@@ -130,7 +132,7 @@ def anchors(keyed: DataFrame, key: str, window: int, text_column: str) -> DataFr
                 row = _batch(hash=hashes[some].view(np.int64), place=place[some].astype(np.int32), key=keys[doc[some]])
                 yield from _sent("place", row, _packed(keys[doc[again]], place[again]))
 
-    return keyed.select(key, text_column).mapInArrow(run, "hash long, place int, key long, places array<int>")
+    return keyed.select(key, text_column).mapInArrow(run, "hash long, place int, key long, places binary")
 
 
 _FOUND = pa.schema([("key", pa.int64()), ("place", pa.int32()), ("places", pa.list_(pa.int32()))])
@@ -143,7 +145,8 @@ def _runs(batches: Iterator[pa.RecordBatch], later_only: bool) -> Iterator[pa.Re
     for batch in batches:
         ready = batch.filter(batch.column("places").is_valid())
         if ready.num_rows:
-            key, places = ready.column("key"), ready.column("places").cast(pa.list_(pa.int32()))
+            key = ready.column("key")
+            places = pa.array([np.frombuffer(p, dtype=np.int32) for p in ready.column("places").to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([key, pa.nulls(ready.num_rows, pa.int32()), places], schema=_FOUND)
         batch = batch.slice(0, batch.num_rows - ready.num_rows)
         if not batch.num_rows:
@@ -216,7 +219,7 @@ def candidate_windows(near: DataFrame, key_column: str, places_column: str, wind
                 earliest = _batch(hash=hashes[some].view(np.int64), placed=placed, key=key[some])
                 yield from _sent("placed", earliest, _packed(key[order][later], spot[order][later]))
 
-    return near.mapInArrow(run, "hash long, placed long, key long, places array<int>")
+    return near.mapInArrow(run, "hash long, placed long, key long, places binary")
 
 
 def _placed(keyed: DataFrame, key: str, places: DataFrame) -> tuple[DataFrame, str]:
