@@ -93,9 +93,9 @@ def mark_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", counters: int = COUNTERS) -> DataFrame:
     """The documents that stay, with all their columns."""
-    digest = free_name(docs, "digest")
+    digest, own_id, own_digest = (free_name(docs, c) for c in ("digest", "stays_id", "stays_digest"))
     stay = mark_copies(docs, id_column, text_column, counters).where("kept")
-    stay = stay.select(F.col(id_column).alias("__id"), F.unhex("text_sha256").alias("__digest"))
+    stay = stay.select(F.col(id_column).alias(own_id), F.unhex("text_sha256").alias(own_digest))
     here = with_digest(docs, digest, text_column).alias("d")
-    same = F.col(f"d.{digest}").eqNullSafe(F.col("__digest")) & F.col(f"d.{id_column}").eqNullSafe(F.col("__id"))
+    same = F.col(f"d.{digest}").eqNullSafe(F.col(own_digest)) & F.col(f"d.{id_column}").eqNullSafe(F.col(own_id))
     return here.join(stay, same, "left_semi").dropDuplicates([digest, id_column]).drop(digest)

@@ -268,16 +268,16 @@ def clean(store: LineStore, docs: DataFrame, id_column: str = "doc_id", text_col
     """docs with their lines judged by the store: the text without the lines that go, n_lines before and n_dropped.
 
     ``postings`` may hand over what ``postings_of(docs)`` gives, where it has been written already."""
-    n_lines, n_dropped = (free_name(docs, c) for c in ("n_lines", "n_dropped"))
+    n_lines, n_dropped, own_id, goes = (free_name(docs, c) for c in ("n_lines", "n_dropped", "dropped_id", "drops"))
     lines = postings if postings is not None else materialize(postings_of(docs, id_column, text_column), "lines")
-    drops = repeated_lines(store, lines).groupBy("doc_id").agg(F.collect_set("key").alias("__drops"))
-    joined = docs.alias("d").join(drops.select(F.col("doc_id").alias("__id"), "__drops"), F.col(f"d.{id_column}").eqNullSafe(F.col("__id")), "left")
-    joined = joined.select("d.*", "__drops")
+    drops = repeated_lines(store, lines).groupBy("doc_id").agg(F.collect_set("key").alias(goes))
+    joined = docs.alias("d").join(drops.select(F.col("doc_id").alias(own_id), goes), F.col(f"d.{id_column}").eqNullSafe(F.col(own_id)), "left")
+    joined = joined.select("d.*", goes)
 
     def rewrite(batch: pa.RecordBatch) -> list[pa.Array]:
         kept, before, dropped = [], [], []
         for at, texts in text_rows(batch, text_column):
-            for text, go in zip(texts, batch.column("__drops").slice(at, len(texts)).to_pylist()):
+            for text, go in zip(texts, batch.column(goes).slice(at, len(texts)).to_pylist()):
                 lines = text.split(b"\n")
                 stay = lines
                 if go:

@@ -108,8 +108,9 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
                         word_count(F.col(text_column)).alias("size"))
     sized = materialize(sized, "sized")
     plan = materialize(cuts(sized, targets(sized.select("source", "size"), weights, epochs, share)), "cuts")
-    plan = plan.select(*[F.col(c).alias(f"__plan_{c}") for c in plan.columns])
-    here, p = docs.alias("docs"), lambda c: F.col(f"__plan_{c}")
+    names = {c: free_name(docs, f"plan_{c}") for c in plan.columns}
+    plan = plan.select(*[F.col(c).alias(name) for c, name in names.items()])
+    here, p = docs.alias("docs"), lambda c: F.col(names[c])
     again = draw(F.col(f"docs.{id_column}"), seed) <= p("cut")
     return here.join(plan, F.col(f"docs.{source_column}").eqNullSafe(p("source")), "left").select(
         "docs.*",

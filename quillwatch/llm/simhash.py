@@ -421,9 +421,10 @@ def drop_near_copies(docs: DataFrame, k: int = 5, distance: int = 14, most: int
     # An id that repeats may be a copy with one text and have links with another.
     both = copies.join(sets.select("node").distinct().withColumnRenamed("node", "key"), "key", "left_semi")
     found = alike.union(similar_pairs(rest, members, k, least)).union(both.select("key", "node"))
-    gone = components(found).where("node != root").select(F.col("node").alias("__gone"))
+    gone = components(found).where("node != root").select(F.col("node").alias("key"))
     gone = materialize(gone.union(copies.select("key")).distinct(), "near-copies")
-    return keyed.join(gone, F.col(key) == F.col("__gone"), "left_anti").select(*docs.columns)
+    copy = free_name(keyed, "copy")
+    return keyed.join(gone.select(F.col("key").alias(copy)), F.col(key) == F.col(copy), "left_anti").select(*docs.columns)
 
 
 def hex_of(fp):

@@ -87,12 +87,13 @@ def judge(pages: DataFrame, rules: DataFrame, url_column: str = "url", default:
     urls = pages.select(F.col(url_column).alias("url")).where("url is not null").distinct()
     urls = urls.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     fits = expressions(urls, labels, lengths).join(rules, "short").where(F.col("digest") == F.col("rule_digest"))
-    best = fits.groupBy(F.col("url").alias("__url")).agg(F.max("found").alias("__found"))
+    judged, found = (free_name(pages, c) for c in ("judged_url", "found"))
+    best = fits.groupBy(F.col("url").alias(judged)).agg(F.max("found").alias(found))
     url = F.col(f"p.{url_column}")
-    return pages.alias("p").join(best, url == F.col("__url"), "left").select(
+    return pages.alias("p").join(best, url == F.col(judged), "left").select(
         "p.*",
         host_of(url).alias(host),
         path_of(url).alias(path),
-        F.col("__found.rule").alias(rule),
-        F.coalesce(F.col("__found.verdict"), F.lit(default)).alias(verdict),
+        F.col(found)["rule"].alias(rule),
+        F.coalesce(F.col(found)["verdict"], F.lit(default)).alias(verdict),
     )

@@ -4,7 +4,9 @@ import random
 
 CLASHES = (
     "key, digest, size, source_size, target, repeats, n_lines, n_dropped, n_words, n_removed, spans, items, kept, "
-    "perplexity, loss, threshold, n_tokens, log_likelihood, hash, place, row, fp, root, a, b, node, host, path, rule, verdict, places, at, number, __key, __places, __at0"
+    "perplexity, loss, threshold, n_tokens, log_likelihood, hash, place, row, fp, root, a, b, node, host, path, rule, verdict, places, at, number, "
+    "__key, __places, __at0, __id, __digest, __drops, __gone, __url, __found, __lang, __mean, __threshold, __plan_source, "
+    "stays_id, stays_digest, dropped_id, drops, plan_source, plan_cut, copy, judged_url, found, own_lang, own_mean, own_threshold"
 ).split(", ")
 COLUMNS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 WIDE = COLUMNS + ", " + ", ".join(f"{c} STRING" for c in CLASHES)

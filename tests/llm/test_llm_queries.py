@@ -107,6 +107,15 @@ def test_nulls_repeats_and_clashing_columns(spark, name):
     assert n == len(rows) if name in ADDS else 0 < n <= len(rows)
 
 
+def test_clashing_columns_of_pages(spark):
+    names = [c for c in odd.CLASHES if c != "url"]
+    pages = spark.createDataFrame([(1, "http://a.org/x", *["y"] * len(names)), (2, None, *["y"] * len(names))], ["page_id", "url", *names])
+    rules = spark.createDataFrame([("org", "/", "block")], "host STRING, path STRING, verdict STRING")
+    got = urls.judge(pages, rules)
+    assert got.columns[: len(pages.columns)] == pages.columns and len(set(got.columns)) == len(got.columns)
+    assert sorted((r.page_id, r[got.columns[-1]]) for r in got.collect()) == [(1, "block"), (2, "allow")]
+
+
 @pytest.mark.parametrize("name", [*FILTERS, *ADDS])
 def test_empty_table(spark, name):
     assert {**FILTERS, **ADDS}[name](spark, odd.empty(spark), []).collect() == []
