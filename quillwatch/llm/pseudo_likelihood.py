@@ -2,11 +2,14 @@
 
 A token is a word, A-Z lower-cased. The ``FREQUENT`` most common words of the whole corpus have a
 number of their own, all others share ``SHARED`` numbers by hash. A small network predicts the number
-at a position from ``SIDE`` tokens on either side: embeddings, one hidden layer, softmax. A document's
-score is the sum, over all its tokens, of the log probability of the token given its neighbours on
-both sides.
-
-Words are counted over all documents. Texts are then read once more and written as numbers, one byte a token; all
+at a position from ``SIDE`` tokens on either side: embeddings, one hidden layer, softmax. The probability
+of a token is that of its number given its neighbours times the word's share of the number's occurrences
+in the corpus (a factored softmax), so every word has a probability of its own, and those of all words
+add up to one. A document's score is the sum of their logarithms over all its tokens.
+
+Words are counted over all documents. The shares of the most common words, ``FAMILIAR`` at most, are
+broadcast; the counts of all others are joined with the words of each document. A word that the counted
+documents do not hold scores like one that they hold once. Texts are then read once more and written as numbers, one byte a token; all
 rounds of training, and the scores of the corpus itself, read these. Training is in numpy inside the tasks: every document of the
 corpus gives all its positions as targets, each in one of the rounds by a seeded draw. Tasks train on their own
 documents from common parameters, and the parameters are averaged in Spark, weighted by targets. Only
@@ -19,9 +22,11 @@ gives an empty result. Other columns pass through, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +36,7 @@ from quillwatch.llm.text import FOLDED, hashed_words, mix, text_rows
 from quillwatch.session import materialize
 
 FREQUENT, SHARED = 192, 64
+FAMILIAR = 1 << 18  # words whose counts the tasks hold; the counts of all others are joined
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 ROUNDS, RATE, BATCH = 3, 0.1, 512
 _VOCABULARY = FREQUENT + SHARED
@@ -70,6 +76,17 @@ class Vocabulary:
         known = np.array(words, dtype=np.int64).view(np.uint64)
         order = np.argsort(known)
         self.words, self.numbers = known[order], order.astype(np.int32)
+        self.share([], [], {})
+
+    def share(self, familiar: np.ndarray, counts: np.ndarray, totals: dict[int, int]) -> None:
+        """Take the counts of some words, and of all words of each number."""
+        known = np.array(familiar, dtype=np.int64).view(np.uint64)
+        order = np.argsort(known)
+        self.familiar, self.logs = known[order], np.log(np.array(counts, dtype=np.float64))[order]
+        self.totals = np.zeros(_VOCABULARY)
+        for number, n in totals.items():
+            self.totals[number] = np.log(n)
+        self.totals[:FREQUENT] = 0
 
     def numbers_of(self, words: np.ndarray) -> np.ndarray:
         numbers = (FREQUENT + (mix(words) % np.uint64(SHARED))).astype(np.int32)
@@ -79,6 +96,29 @@ class Vocabulary:
             numbers[known] = self.numbers[at[known]]
         return numbers
 
+    def shares_of(self, words: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log share that each word has in its number, and which words lack the log of their count in it."""
+        out, rare = -self.totals[numbers], numbers >= FREQUENT
+        some = np.flatnonzero(rare)
+        if len(self.familiar):
+            at = np.minimum(np.searchsorted(self.familiar, words[some]), len(self.familiar) - 1)
+            known = self.familiar[at] == words[some]
+            out[some[known]] += self.logs[at[known]]
+            rare[some[known]] = False
+        return out, rare
+
+
+@dataclass
+class Words:
+    """The vocabulary for the tasks, and the counts (word, n) of all words."""
+
+    shared: Broadcast
+    counts: DataFrame
+
+    @property
+    def value(self) -> Vocabulary:
+        return self.shared.value
+
 
 def neighbours(numbers: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Per token the numbers of SIDE tokens on either side, with the edge outside its text."""
@@ -160,17 +200,31 @@ def begin(counts: list[int], total: int) -> np.ndarray:
     return pack(network)
 
 
-def numbered(docs: DataFrame, vocabulary, numbers_column: str, text_column: str = "text") -> DataFrame:
-    """docs with the numbers of the text's tokens, one byte each."""
+def numbered(docs: DataFrame, words: Words, text_column: str = "text") -> tuple[DataFrame, tuple[str, ...]]:
+    """docs with four columns, and their names: the numbers of the text's tokens, one byte each; the sum of the log shares
+    of its words, without the logs of the counts of rare ones; the rare words; a number of the row, which a write fixes."""
+    names = tuple(free_name(docs, c) for c in ("numbers", "share", "rare", "row"))
+    shared = words.shared
+
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         found: list[bytes] = []
+        shares, rest, ends = [], [np.zeros(0, dtype=np.uint64)], [np.zeros(1, dtype=np.int64)]
         for _, texts in text_rows(batch, text_column):
-            for _, words, begins in hashed_words(texts, FOLDED):
-                numbers = vocabulary.value.numbers_of(words).astype(np.uint8).tobytes()
+            for _, own, begins in hashed_words(texts, FOLDED):
+                numbers = shared.value.numbers_of(own)
+                logs, rare = shared.value.shares_of(own, numbers)
+                numbers = numbers.astype(np.uint8).tobytes()
                 found += [numbers[a:b] for a, b in zip(begins[:-1], begins[1:])]
-        return [pa.array(found, pa.binary())]
+                sums = np.append(0.0, np.cumsum(logs))
+                shares.append(sums[begins[1:]] - sums[begins[:-1]])
+                ends.append(ends[-1][-1] + np.append(0, np.cumsum(rare))[begins[1:]])
+                rest.append(own[rare])
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(rest).view(np.int64)))
+        return [pa.array(found, pa.binary()), pa.array(np.concatenate([np.zeros(0), *shares])), lists]
 
-    return map_batches(docs, run, T.StructType([T.StructField(numbers_column, T.BinaryType())]))
+    types = (T.BinaryType(), T.DoubleType(), T.ArrayType(T.LongType()))
+    added = T.StructType([T.StructField(n, t) for n, t in zip(names, types)])
+    return map_batches(docs, run, added).withColumn(names[3], F.monotonically_increasing_id()), names
 
 
 def _number_rows(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -229,12 +283,37 @@ def train_round(numbers: DataFrame, parameters: np.ndarray, number: int, rounds:
     return out
 
 
-def vocabulary_of(docs: DataFrame, text_column: str = "text"):
-    """The vocabulary as a broadcast, and the parameters before training."""
+def number_totals(counts: DataFrame, vocabulary: Vocabulary) -> dict[int, int]:
+    """How many occurrences in the corpus each number has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(_VOCABULARY, dtype=np.int64)
+        for batch in batches:
+            words, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            np.add.at(totals, vocabulary.numbers_of(words.view(np.uint64)), n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_VOCABULARY)), pa.array(totals)], names=["number", "n"])
+
+    found = counts.select("word", "n").mapInArrow(run, "number long, n long").groupBy("number").agg(F.sum("n").alias("n"))
+    return {r["number"]: r["n"] for r in found.where("n > 0").collect()}
+
+
+def familiar_words(counts: DataFrame, most: int) -> DataFrame:
+    """Words that are counted at least so often that there are no more than ``most`` of them."""
+    step = F.floor(4 * F.log2("n"))
+    sizes = sorted(((r["step"], r["words"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()), reverse=True)
+    kept = [at for at, total in zip((s for s, _ in sizes), np.cumsum([w for _, w in sizes])) if total <= most]
+    return counts.where(step >= kept[-1]) if kept else counts.limit(0)
+
+
+def vocabulary_of(docs: DataFrame, text_column: str = "text") -> tuple[Words, np.ndarray]:
+    """The vocabulary, and the parameters before training."""
     counts = materialize(word_counts(docs, text_column), "word-counts")
     top = [tuple(r) for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return docs.sparkSession.sparkContext.broadcast(Vocabulary([w for w, _ in top])), begin([n for _, n in top], total)
+    vocabulary = Vocabulary([w for w, _ in top])
+    familiar = familiar_words(counts, FAMILIAR).select("word", "n").toArrow()
+    vocabulary.share(familiar.column(0).to_numpy(), familiar.column(1).to_numpy(), number_totals(counts, vocabulary))
+    words = Words(docs.sparkSession.sparkContext.broadcast(vocabulary), counts)
+    return words, begin([n for _, n in top], total)
 
 
 def learn(numbers: DataFrame, parameters: np.ndarray, rounds: int = ROUNDS, column: str = "numbers"):
@@ -246,17 +325,20 @@ def learn(numbers: DataFrame, parameters: np.ndarray, rounds: int = ROUNDS, colu
 
 def train(docs: DataFrame, text_column: str = "text", rounds: int = ROUNDS):
     """Vocabulary and parameters, as broadcasts."""
-    vocabulary, parameters = vocabulary_of(docs, text_column)
-    numbers = numbered(docs.select(text_column), vocabulary, "numbers", text_column).select("numbers")
-    return vocabulary, learn(materialize(numbers, "numbers"), parameters, rounds)
+    words, parameters = vocabulary_of(docs, text_column)
+    rows, names = numbered(docs.select(text_column), words, text_column)
+    return words, learn(materialize(rows.select(names[0]), "numbers"), parameters, rounds, names[0])
 
 
 def score_names(docs: DataFrame) -> tuple[str, str]:
     return tuple(free_name(docs, c) for c in ("n_tokens", "log_likelihood"))
 
 
-def score_numbers(rows: DataFrame, parameters, numbers_column: str) -> DataFrame:
-    """rows with n_tokens and log_likelihood, the sum of the conditional log probabilities, in place of the numbers."""
+def score_numbers(rows: DataFrame, words: Words, parameters, names: tuple[str, ...]) -> DataFrame:
+    """Written rows with n_tokens and log_likelihood, the sum of the conditional log probabilities, in place of what
+    ``numbered`` added under these names."""
+    numbers_column, share, rare, row = names
+
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         network, counts, sums = unpack(parameters.value), [], []
         for numbers, begins in _number_rows(batch, numbers_column):
@@ -265,20 +347,24 @@ def score_numbers(rows: DataFrame, parameters, numbers_column: str) -> DataFrame
             sums += (found[begins[1:]] - found[begins[:-1]]).tolist()
         return [pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
 
-    names = score_names(rows)
-    added = T.StructType([T.StructField(names[0], T.LongType()), T.StructField(names[1], T.DoubleType())])
-    return map_batches(rows, run, added).drop(numbers_column)
+    n_tokens, likelihood = score_names(rows.drop(*names))
+    added = T.StructType([T.StructField(n_tokens, T.LongType()), T.StructField(likelihood, T.DoubleType())])
+    scored = materialize(map_batches(rows.drop(rare), run, added).drop(numbers_column), "scored")
+    counts = rows.select(row, F.explode(rare).alias("word")).join(words.counts, "word").groupBy(row).agg(F.sum(F.log("n")).alias(rare))
+    others = [c for c in rows.columns if c not in names]
+    total = F.col(likelihood) + F.col(share) + F.coalesce(rare, F.lit(0.0))
+    return scored.join(counts, row, "left").select(*others, n_tokens, total.alias(likelihood))
 
 
-def score(docs: DataFrame, vocabulary, parameters, text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, words: Words, parameters, text_column: str = "text") -> DataFrame:
     """docs with n_tokens and log_likelihood."""
-    column = free_name(docs, "numbers")
-    return score_numbers(numbered(docs, vocabulary, column, text_column), parameters, column)
+    rows, names = numbered(docs, words, text_column)
+    return score_numbers(materialize(rows, "numbers"), words, parameters, names)
 
 
 def train_and_score(docs: DataFrame, text_column: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """docs without their text, with n_tokens and log_likelihood under a network trained on all of them."""
-    column = free_name(docs, "numbers")
-    vocabulary, parameters = vocabulary_of(docs, text_column)
-    rows = materialize(numbered(docs, vocabulary, column, text_column).drop(text_column), "numbers")
-    return score_numbers(rows, learn(rows, parameters, rounds, column), column)
+    words, parameters = vocabulary_of(docs, text_column)
+    rows, names = numbered(docs, words, text_column)
+    rows = materialize(rows.drop(text_column), "numbers")
+    return score_numbers(rows, words, learn(rows, parameters, rounds, names[0]), names)

@@ -645,6 +645,36 @@ def test_scores_match_brute_force(spark):
         assert r.log_likelihood == pytest.approx(total, rel=1e-4, abs=1e-3)
 
 
+@pytest.mark.parametrize("familiar", [0, 100, 1 << 18])
+def test_every_word_has_a_probability_of_its_own(spark, monkeypatch, familiar):
+    """More words than numbers: the number's probability times the word's share of it, for joined and broadcast counts."""
+    monkeypatch.setattr(pseudo_likelihood, "FAMILIAR", familiar)
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 3000}" for _ in range(120)), "en", "s", 0) for i in range(60)]
+    rows += [(60, None, "en", "s", 0), (None, "w1 unique", "en", "s", 0), (0, *rows[0][1:])]
+    counts = Counter(w for _, t, *_ in rows for w in (t or "").split())
+    assert len(counts) > 3 * pseudo_likelihood.FREQUENT
+    docs = odd.frame(spark, rows)
+    words, parameters = pseudo_likelihood.train(docs, rounds=1)
+    net = pseudo_likelihood.unpack(parameters.value)
+    number = {w: numbers_of(words.value, w)[0] for w in counts}
+    totals = Counter()
+    for w, n in counts.items():
+        totals[number[w]] += n
+    got = pseudo_likelihood.score(docs, words, parameters).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        own = (r.text or "").split()
+        numbers = np.array([number[w] for w in own], dtype=np.int32)
+        around = pseudo_likelihood.neighbours(numbers, np.array([0, len(own)]))
+        total = float(pseudo_likelihood.log_probabilities(net, around, numbers).sum()) if own else 0.0
+        total += sum(math.log(counts[w] / totals[number[w]]) for w in own)
+        assert r.log_likelihood == pytest.approx(total, rel=1e-4, abs=1e-3)
+    new = odd.frame(spark, [(1, "never seen", "en", "s", 0)])
+    r = pseudo_likelihood.score(new, words, parameters).first()
+    assert r.n_tokens == 2 and r.log_likelihood < -2 * math.log(2)
+
+
 def test_training_learns_from_both_sides(spark):
     rng = random.Random(7)
     # The middle word is given by the two around it.
