@@ -2,12 +2,15 @@
 
 Tokens are runs of letters and digits, each other run of non-blanks on its own, with case kept.
 Trusted documents are those labelled of good quality and not toxic. By a hash of the id, half of
-them are for counting and half for thresholds. Counts come from at most ``max_docs`` of the first
-half, in the order of the hash, as far as they have ``max_tokens`` tokens in all: the bounds of the
-fit. N-grams are counted and discounted in Spark; probabilities of all orders are found by joining
-count tables dealt out by context. The finished tables hold at most two entries per order and token
-of the fit, so their size is proven; they are broadcast in shards and joined with the n-grams of
-every document inside the tasks. All documents are scored, over their whole texts.
+them are for counting and half for thresholds. All documents of the first half are counted, over
+their whole texts. N-grams are counted and discounted in Spark; probabilities of all orders are found
+by joining count tables dealt out by context. The finished model is a table that nobody holds whole:
+documents are put into blocks of some megabytes, the different n-grams of a block are joined with the
+model, and each block is scored by what comes back. A bitmap of fixed size tells most n-grams that
+the model lacks before they are joined. All documents are scored, over their whole texts.
+
+``fit`` brings a model to the driver instead, for fits that are small or that ``max_docs`` and
+``max_tokens`` bound: the first of the counting half in the order of the hash, as far as they go.
 
 A document's score is its cross entropy in nats per token, drawn towards the mean of the trusted
 documents of its language by ``prior`` tokens, as short texts say little; perplexity is its
@@ -26,10 +29,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +43,6 @@ from quillwatch.llm.tables import free_name, map_batches
 from quillwatch.llm.text import mix, text_rows
 from quillwatch.session import materialize
 
-MAX_DOCS = 2_000
-MAX_TOKENS = 1_000_000
 QUANTILE = 0.99
 SLACK = 1.25
 PRIOR = 20
@@ -47,6 +50,8 @@ ORDERS = 3
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _START = 1  # what stands before a text
 _GROUP = 1 << 17  # tokens scored together
+_BLOCK = 1 << 22  # bytes of text that ask for their n-grams together
+_SLOTS = 27  # leading bits of an n-gram that the bitmap knows
 
 
 def tokens_of(text: bytes) -> np.ndarray:
@@ -144,33 +149,50 @@ def trusted_half(labels: DataFrame, half: int) -> DataFrame:
     return ids.where("quality = 1 and toxic = 0 and doc_id is not null").where(F.pmod(place, F.lit(2)) == half).select("doc_id", place.alias("place"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_tokens: int = MAX_TOKENS,
-        id_column: str = "doc_id", text_column: str = "text") -> Model:
-    """Model of the trusted documents in the first half."""
+@dataclass
+class Tables:
+    """The whole model: (order, gram, logp) and, for contexts, (order, gram, backoff); log probability of the unknown."""
+
+    rows: DataFrame
+    unknown: float
+
+
+def fit_tables(docs: DataFrame, labels: DataFrame, max_docs: int | None = None, max_tokens: int | None = None,
+               id_column: str = "doc_id", text_column: str = "text") -> Tables:
+    """Model of all trusted documents in the first half, or of the first of them within the bounds."""
     narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    ids = narrow.select("doc_id").join(trusted_half(labels, 0), "doc_id").distinct().orderBy("place", "doc_id").limit(max_docs)
-    ids = materialize(ids, "trusted")
-    chosen = narrow.join(F.broadcast(ids), "doc_id").orderBy("place", "doc_id", F.length("text"), "text").limit(max_docs)
+    ids = materialize(trusted_half(labels, 0), "trusted")
+    if max_docs is None and max_tokens is None:
+        chosen = narrow.join(ids, "doc_id", "left_semi")
+    else:
+        chosen = narrow.join(ids, "doc_id").orderBy("place", "doc_id", F.length("text"), "text")
+        if max_docs is not None:
+            first = narrow.select("doc_id").join(ids, "doc_id").distinct().orderBy("place", "doc_id").limit(max_docs)
+            chosen = chosen.join(first.select("doc_id"), "doc_id", "left_semi").orderBy("place", "doc_id", F.length("text"), "text").limit(max_docs)
+        chosen = chosen.coalesce(1)  # the bounds hold for one sequence
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = max_tokens  # the sorted sample is one partition
+        left = max_tokens
         for batch in batches:
             for _, texts in text_rows(batch, "text", 64):
                 some = []
                 for text in texts:
-                    tokens = tokens_of(text)[: max(0, left)]
-                    left -= len(tokens)
+                    tokens = tokens_of(text)
+                    if left is not None:
+                        tokens = tokens[: max(0, left)]
+                        left -= len(tokens)
                     some.append(tokens)
                 if sum(map(len, some)):
                     g = all_grams(some)
                     yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in g.values()], names=list(g))
 
-    every = chosen.select("text").coalesce(1).mapInArrow(rows, "g1 long, g2 long, g3 long, c2 long, c3 long")
+    every = chosen.select("text").mapInArrow(rows, "g1 long, g2 long, g3 long, c2 long, c3 long")
     counts = {3: materialize(every.groupBy("g3", "c3", "g2", "c2", "g1").agg(F.count("*").alias("n")), "trigrams")}
     # Lower orders count in how many contexts a gram continues.
     counts[2] = materialize(counts[3].groupBy("g2", "c2", "g1").agg(F.count("*").alias("n")), "bigrams")
     counts[1] = materialize(counts[2].groupBy("g1").agg(F.count("*").alias("n")).withColumn("c1", F.lit(0)), "unigrams")
-    probabilities, tables, backoffs, unknown = None, {}, {}, float(np.log(1e-9))
+    probabilities, parts, unknown = None, [], float(np.log(1e-9))
+    none = F.lit(None).cast("double")
     for order in (1, 2, 3):
         table = counts[order]
         n = table.agg(*[F.count(F.when(F.col("n") == k, 1)) for k in (1, 2, 3, 4)], F.count("*"), F.sum("n")).first()
@@ -186,38 +208,129 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_tokens
             p = own.select("g1", (F.col("own") + floor).alias("p"))
         else:
             p = own.join(probabilities, f"g{order - 1}").select(f"g{order}", (F.col("own") + F.col("backoff") * F.col("p")).alias("p"))
-            backoffs[order] = _table(contexts.select(f"c{order}", F.log("backoff")))
+            contexts = materialize(contexts.select(F.col(f"c{order}").alias("gram"), "backoff"), "contexts")
+            parts.append(contexts.select(F.lit(order - 1).alias("order"), "gram", none.alias("logp"), F.log("backoff").alias("backoff")))
         probabilities = materialize(p, "probabilities")
-        tables[order] = _table(probabilities.select(f"g{order}", F.log("p")))
-    return Model(tables, backoffs, unknown)
+        parts.append(probabilities.select(F.lit(order).alias("order"), F.col(f"g{order}").alias("gram"), F.log("p").alias("logp"), none.alias("backoff")))
+    return Tables(reduce(DataFrame.unionByName, parts), unknown)
+
+
+def model_of(found: pa.Table, unknown: float) -> Model:
+    """A model of these rows (order, gram, logp, backoff)."""
+    order, gram, logp, backoff = (found.column(c).to_numpy() for c in ("order", "gram", "logp", "backoff"))
+    gram, of = gram.view(np.uint64), lambda values, k: (order == k) & ~np.isnan(values)
+    tables = {k: Table(gram[of(logp, k)], logp[of(logp, k)]) for k in range(1, ORDERS + 1)}
+    return Model(tables, {k + 1: Table(gram[of(backoff, k)], backoff[of(backoff, k)]) for k in range(1, ORDERS)}, unknown)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int | None = None, max_tokens: int | None = None,
+        id_column: str = "doc_id", text_column: str = "text") -> Model:
+    """The model on the driver, for fits that are small or bounded."""
+    tables = fit_tables(docs, labels, max_docs, max_tokens, id_column, text_column)
+    return model_of(tables.rows.toArrow(), tables.unknown)
+
+
+def losses(model: Model, texts: list[bytes]) -> tuple[list[int], list[float]]:
+    """Per text the number of tokens and the sum of their negative log probabilities."""
+    counts, sums_, some = [], [], []
+    for i, text in enumerate(texts):
+        some.append(tokens_of(text))
+        if i == len(texts) - 1 or sum(map(len, some)) > _GROUP:
+            sizes = np.array([len(t) for t in some])
+            sums = np.append(0.0, np.cumsum(model.scores(some), dtype=np.float64))
+            ends = np.cumsum(sizes)
+            counts += sizes.tolist()
+            sums_ += (sums[ends - sizes] - sums[ends]).tolist()
+            some = []
+    return counts, sums_
+
 
+def _loss_columns(model: Model, batch: pa.RecordBatch | pa.Table, text_column: str) -> list[pa.Array]:
+    counts, sums = [], []
+    for _, texts in text_rows(batch, text_column, 128):
+        for all_, some in zip((counts, sums), losses(model, texts)):
+            all_ += some
+    return [pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
 
-def _table(rows: DataFrame) -> Table:
-    """A finished count table, which the bounds of the fit limit, on the driver."""
-    found = rows.toArrow()
-    return Table(found.column(0).to_numpy().view(np.uint64), found.column(1).to_numpy())
+
+def _loss_types(names: tuple[str, str]) -> list[T.StructField]:
+    return [T.StructField(names[0], T.LongType()), T.StructField(names[1], T.DoubleType())]
 
 
 def with_loss(docs: DataFrame, model: Model, text_column: str = "text", names: tuple[str, str] = ("n_tokens", "loss")) -> DataFrame:
     """docs with the number of tokens and the sum of their negative log probabilities."""
     held = docs.sparkSession.sparkContext.broadcast(model)
+    return map_batches(docs, lambda batch: _loss_columns(held.value, batch, text_column), T.StructType(_loss_types(names)))
+
+
+def blocked(docs: DataFrame, column: str, text_column: str) -> DataFrame:
+    """docs, written, with the number of a block: consecutive rows of a task with about ``_BLOCK`` bytes of text."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, before = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = [len(t) for _, texts in text_rows(batch, text_column) for t in texts]
+            ends = before + np.cumsum(np.array(sizes, dtype=np.int64))
+            if len(sizes):
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + ends // _BLOCK)], names=schema.names)
+                before = int(ends[-1])
+
+    return materialize(docs.mapInArrow(run, schema), "blocks")
+
+
+def bitmap(grams: DataFrame) -> np.ndarray:
+    """One bit for every value of the leading bits: whether a gram has them. At most 2 million rows of 64 bits."""
+    slot = f"shiftrightunsigned(gram, {64 - _SLOTS})"
+    held = grams.groupBy(F.expr(f"{slot} >> 6").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast({slot} & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (_SLOTS - 6), dtype=np.uint64)
+    out[held.column("at").to_numpy()] = held.column("bits").to_numpy().view(np.uint64)
+    return out
 
-    def score(batch: pa.RecordBatch) -> list[pa.Array]:
-        counts, losses = [], []
-        for _, texts in text_rows(batch, text_column, 128):
-            some: list[np.ndarray] = []
-            for i, text in enumerate(texts):
-                some.append(tokens_of(text))
-                if i == len(texts) - 1 or sum(map(len, some)) > _GROUP:
-                    sizes = np.array([len(t) for t in some])
-                    sums = np.append(0.0, np.cumsum(held.value.scores(some), dtype=np.float64))
-                    ends = np.cumsum(sizes)
-                    counts += sizes.tolist()
-                    losses += (sums[ends - sizes] - sums[ends]).tolist()
-                    some = []
-        return [pa.array(counts, pa.int64()), pa.array(losses, pa.float64())]
 
-    return map_batches(docs, score, T.StructType([T.StructField(names[0], T.LongType()), T.StructField(names[1], T.DoubleType())]))
+def in_bitmap(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    slot = grams >> np.uint64(64 - _SLOTS)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def joined_loss(docs: DataFrame, tables: Tables, keep: list[str], text_column: str = "text", names: tuple[str, str] = ("n_tokens", "loss")) -> DataFrame:
+    """These columns of docs with the number of tokens and the sum of their negative log probabilities under the whole model."""
+    block = free_name(docs, "block")
+    rows = blocked(docs, block, text_column)
+    held, unknown = docs.sparkSession.sparkContext.broadcast(bitmap(tables.rows.select("gram"))), tables.unknown
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = batch.column(block).to_numpy()
+            for own in np.split(np.arange(len(blocks)), np.flatnonzero(np.diff(blocks)) + 1):
+                if not len(own):
+                    continue
+                texts = batch.slice(int(own[0]), len(own))
+                tokens = [tokens_of(t) for _, some in text_rows(texts, text_column) for t in some]
+                if not sum(map(len, tokens)):
+                    continue
+                g = all_grams(tokens)
+                for order, kinds in ((3, ("g3",)), (2, ("g2", "c3")), (1, ("g1", "c2"))):
+                    grams = np.unique(np.concatenate([g[k] for k in kinds]))
+                    grams = grams[in_bitmap(held.value, grams)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(grams), x, dtype=t)) for x, t in ((blocks[own[0]], np.int64), (order, np.int32))] + [pa.array(grams.view(np.int64))],
+                        names=["block", "order", "gram"],
+                    )
+
+    asked = rows.select(block, text_column).mapInArrow(ask, "block long, order int, gram long")
+    found = asked.join(tables.rows, ["order", "gram"]).select("block", "order", "gram", "logp", "backoff")
+
+    def score(own: pa.Table, answers: pa.Table) -> pa.Table:
+        model = model_of(answers, unknown)
+        batches = own.combine_chunks().to_batches()
+        columns = [pa.concat_arrays(c) for c in zip(*(_loss_columns(model, b, text_column) for b in batches))]
+        return pa.Table.from_arrays([*(own.column(c) for c in keep), *columns], names=[*keep, *names])
+
+    schema = T.StructType([*(docs.schema[c] for c in keep), *_loss_types(names)])
+    rows = rows.select(block, *dict.fromkeys([*keep, text_column]))
+    # A block that nothing was found for is scored as well; answers without a block don't occur.
+    return rows.groupBy(block).cogroup(found.groupBy("block")).applyInArrow(score, schema)
 
 
 @dataclass
@@ -259,21 +372,20 @@ def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-             quantile: float = QUANTILE, slack: float = SLACK, prior: int = PRIOR, max_docs: int = MAX_DOCS, max_tokens: int = MAX_TOKENS) -> DataFrame:
+             quantile: float = QUANTILE, slack: float = SLACK, prior: int = PRIOR, max_docs: int | None = None, max_tokens: int | None = None) -> DataFrame:
     """One row per document: doc_id, lang, n_tokens, loss, perplexity, threshold, kept."""
-    model = fit(docs, labels, max_docs, max_tokens, id_column, text_column)
+    tables = fit_tables(docs, labels, max_docs, max_tokens, id_column, text_column)
     narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
-    scored = materialize(with_loss(narrow, model).drop("text"), "scored")
+    scored = materialize(joined_loss(narrow, tables, ["doc_id", "lang"]), "scored")
     return thresholds(scored, labels, quantile, slack, prior).judge(scored, prior, "lang", ("n_tokens", "loss", "perplexity", "threshold", "kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-              quantile: float = QUANTILE, slack: float = SLACK, prior: int = PRIOR, max_docs: int = MAX_DOCS, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """The documents that are kept, with their columns. Texts are scored twice rather than shuffled."""
-    model = fit(docs, labels, max_docs, max_tokens, id_column, text_column)
-    narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
-    scored = materialize(with_loss(narrow, model).drop("text"), "scored")
-    limits = thresholds(scored, labels, quantile, slack, prior)
+              quantile: float = QUANTILE, slack: float = SLACK, prior: int = PRIOR, max_docs: int | None = None, max_tokens: int | None = None) -> DataFrame:
+    """The documents that are kept, with their columns."""
+    tables = fit_tables(docs, labels, max_docs, max_tokens, id_column, text_column)
     names = tuple(free_name(docs, c) for c in ("n_tokens", "loss", "perplexity", "threshold", "kept"))
-    judged = limits.judge(with_loss(docs, model, text_column, names[:2]), prior, lang_column, names)
-    return judged.where(F.col(names[-1])).select(*docs.columns)
+    scored = materialize(joined_loss(docs, tables, docs.columns, text_column, names[:2]), "scored")
+    columns = zip((id_column, lang_column, *names[:2]), ("doc_id", "lang", "n_tokens", "loss"))
+    limits = thresholds(scored.select(*[F.col(c).alias(n) for c, n in columns]), labels, quantile, slack, prior)
+    return limits.judge(scored, prior, lang_column, names).where(F.col(names[-1])).select(*docs.columns)

@@ -623,6 +623,25 @@ def test_bounds_of_the_fit(spark):
     assert len(kneser_ney.fit(docs, labels, max_tokens=7).logp[1].keys) == 7
 
 
+def test_all_trusted_documents_are_counted(spark, monkeypatch):
+    """More documents and tokens than the bounds that the fit had, in many blocks, against dictionaries."""
+    monkeypatch.setattr(kneser_ney, "_BLOCK", 5000)
+    rng = random.Random(5)
+    rows = [(i, odd.sentence(rng, 8, 900) + f" only{i}", "en", "s", 0) for i in range(4600)]
+    rows += [(5000, "none of these", None, "s", 0), (5001, None, "de", "s", 0), (None, rows[0][1], "en", "s", 0), (5002, odd.sentence(rng, 3000, 900), "en", "s", 0)]
+    docs = odd.frame(spark, rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(4600)], "doc_id BIGINT, quality INT, toxic INT")
+    chosen = {r.doc_id for r in kneser_ney.trusted_half(labels, 0).collect()}
+    assert len(chosen) > 2000
+    tokens = {i: kneser_ney._TOKEN.findall(t or "") for i, t, *_ in rows}
+    loss = kneser_ney_by_hand([tokens[i] for i in chosen])
+    got = kneser_ney.classify(docs, labels).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_tokens == len(tokens[r.doc_id])
+        assert r.loss == pytest.approx(loss(tokens[r.doc_id]), rel=1e-4, abs=1e-4)
+
+
 # pseudo-likelihood
 
 
