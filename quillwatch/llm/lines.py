@@ -16,7 +16,7 @@ documents stay in the smallest doc_id only.
 
 Keys held by more than one document in ``HOT`` of all postings, fewer than ``HOT`` of them, bypass the
 filters through a broadcast, so no shard receives the lines of a key that a third of all documents
-hold. Keys are 128-bit digests. Rows that repeat an id are one document to the counts, as are the rows
+hold. Shards are Arrow tables in the tasks, whose workers never load pandas. Keys are 128-bit digests. Rows that repeat an id are one document to the counts, as are the rows
 with a null id, which come after all others. An empty table makes an empty store. Other columns pass
 through, whatever their names.
 """
@@ -28,7 +28,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,32 +163,47 @@ def _shard(shards: int):
     return F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
 
 
-def _key64(keys: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(k[:8] for k in keys), dtype=np.uint64)
+def _key64(keys: pa.ChunkedArray) -> np.ndarray:
+    """The first half of every key."""
+    out = [np.zeros(0, dtype=np.uint64)]
+    for chunk in keys.chunks:
+        if len(chunk):
+            halves = np.frombuffer(chunk.cast(pa.binary(16)).buffers()[1], dtype=np.uint64)
+            out.append(halves[: 2 * len(chunk) : 2])
+    return np.concatenate(out)
+
+
+def _filter_row(shard: int, table: np.ndarray | None) -> pa.Table:
+    held = None if table is None else table.tobytes()
+    return pa.Table.from_arrays([pa.array([shard], pa.int32()), pa.array([held], pa.binary())], names=["shard", "filter"])
+
+
+def _held(filters: pa.Table) -> CuckooFilter:
+    return CuckooFilter(table=filters.column("filter")[0].as_py())
 
 
 def _built(refs: DataFrame, shards: int) -> DataFrame:
     """Filters over the keys that two documents or more hold."""
     repeated = refs.where("n_docs > 1").select(_shard(shards).alias("shard"), "key")
 
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        table = CuckooFilter.of(_key64(group["key"])).table.tobytes()
-        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "filter": [table]})
+    def build(group: pa.Table) -> pa.Table:
+        return _filter_row(group.column("shard")[0].as_py(), CuckooFilter.of(_key64(group.column("key"))).table)
 
-    return repeated.groupBy("shard").applyInPandas(build, "shard int, filter binary")
+    return repeated.groupBy("shard").applyInArrow(build, "shard int, filter binary")
 
 
 def _updated(filters: DataFrame, changes: DataFrame, refs: DataFrame, shards: int) -> DataFrame:
     """Filters after ``changes`` (key, crossed: 1 into the filter, -1 out of it); a full one is built anew from refs."""
     changed = changes.select(_shard(shards).alias("shard"), "key", "crossed")
 
-    def update(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        held = CuckooFilter(table=left["filter"].iloc[0]) if len(left) else CuckooFilter(2 * len(right))
-        held.remove(_key64(right.loc[right["crossed"] < 0, "key"]))
-        full = not held.add(_key64(right.loc[right["crossed"] > 0, "key"]))
-        return pd.DataFrame({"shard": [int(key[0])], "filter": [None if full else held.table.tobytes()]})
+    def update(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        held = _held(left) if left.num_rows else CuckooFilter(2 * right.num_rows)
+        keys, crossed = _key64(right.column("key")), right.column("crossed").to_numpy()
+        held.remove(keys[crossed < 0])
+        full = not held.add(keys[crossed > 0])
+        return _filter_row(key[0].as_py(), None if full else held.table)
 
-    out = filters.groupBy("shard").cogroup(changed.groupBy("shard")).applyInPandas(update, "shard int, filter binary")
+    out = filters.groupBy("shard").cogroup(changed.groupBy("shard")).applyInArrow(update, "shard int, filter binary")
     out = materialize(out, "line-filters-updated")
     full = out.where("filter is null").select("shard")
     again = refs.join(full, _shard(shards) == F.col("shard"), "left_semi")
@@ -248,17 +262,15 @@ def repeated_lines(store: LineStore, lines: DataFrame) -> DataFrame:
     drops = ~F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("n_docs") > 1)
     busy = lines.join(F.broadcast(hot), "key").where(drops).select("key", "doc_id")
     cold = lines.join(F.broadcast(hot.select("key")), "key", "left_anti")
-    # pandas has no null among integers
-    cold = cold.select(_shard(max(1, store.shards)).alias("shard"), "key", F.coalesce("doc_id", F.lit(0)).alias("id"), F.isnull("doc_id").alias("no_id"))
+    cold = cold.select(_shard(max(1, store.shards)).alias("shard"), "key", "doc_id")
 
-    def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known = np.zeros(len(right), dtype=bool)
-        if len(left) and len(right):
-            known = CuckooFilter(table=left["filter"].iloc[0]).has(_key64(right["key"]))
-        return right.loc[known, ["key", "id", "no_id"]]
+    def probe(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = np.zeros(right.num_rows, dtype=bool)
+        if left.num_rows and right.num_rows:
+            known = _held(left).has(_key64(right.column("key")))
+        return right.select(["key", "doc_id"]).filter(pa.array(known))
 
-    maybe = store.filters.groupBy("shard").cogroup(cold.groupBy("shard")).applyInPandas(probe, "key binary, id long, no_id boolean")
-    maybe = maybe.select("key", F.when(~F.col("no_id"), F.col("id")).alias("doc_id"))
+    maybe = store.filters.groupBy("shard").cogroup(cold.groupBy("shard")).applyInArrow(probe, "key binary, doc_id long")
     exact = maybe.join(store.refs.where("n_docs > 1"), "key").where(drops).select("key", "doc_id")
     return busy.unionByName(exact)
 

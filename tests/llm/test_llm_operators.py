@@ -535,6 +535,14 @@ def test_rules_match_brute_force(spark):
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, *best[2:])
 
 
+def test_line_dedup_works_without_pandas_in_the_workers(spark):
+    """Each worker would hold its own copy of it."""
+    assert not {"pd", "pandas"} & set(vars(lines))
+    docs = odd.frame(spark, odd.documents(2))
+    plan = lines.clean(lines.insert(None, docs), docs)._jdf.queryExecution().toString()
+    assert "InArrow" in plan and "InPandas" not in plan
+
+
 # Kneser-Ney
 
 
