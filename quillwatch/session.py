@@ -86,9 +86,23 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def write(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet; the shuffle files of this job go with its end, not when the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, before)
+
+
+def materialize(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` once and read it back: several readers then share one computation,
     the plan is cut, and a lost executor costs nothing that was already computed."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    if drop_shuffles:
+        write(df, path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -650,6 +651,46 @@ def test_all_trusted_documents_are_counted(spark, monkeypatch):
         assert r.loss == pytest.approx(loss(tokens[r.doc_id]), rel=1e-4, abs=1e-4)
 
 
+def test_ngrams_travel_packed(spark, monkeypatch):
+    """Triples come back from the rows of the shards, each in one shard, in a fraction of the 40 bytes a token that they took as numbers."""
+    monkeypatch.setattr(kneser_ney, "_BLOCK", 3000)
+    rng = random.Random(8)
+    texts = [odd.sentence(rng, 400, 300) for _ in range(60)] + ["", "one", odd.sentence(rng, 7000, 50)]
+    tokens = [kneser_ney.tokens_of(t.encode()).tolist() for t in texts]
+    expected = Counter(tuple(p[i : i + 3]) for t in tokens for p in [[1, 1, *t]] for i in range(len(t)))
+    most = Counter(x for t in tokens for x in t).most_common(40)
+    hot = np.sort(np.array([t for t, _ in most[:3]], dtype=np.uint64))
+    shards = kneser_ney.Shards(7, hot, np.array([3, 1, 2]), np.sort(np.array([t for t, _ in most], dtype=np.uint64)))
+    rows = kneser_ney.counted(spark.createDataFrame([(t,) for t in texts], "text string"), shards).toArrow()
+    got, place = Counter(), {}
+    for shard in range(7):
+        for *gram, n in zip(*(x.tolist() for x in kneser_ney.merged(rows.filter(pc.equal(rows.column("shard"), shard)), shards.common))):
+            assert tuple(gram) not in got
+            got[tuple(gram)] += n
+            place.setdefault(gram[1], set()).add(shard)
+    assert got == expected
+    assert all(len(s) == 1 for t, s in place.items() if t not in hot.tolist()) and max(len(place[int(t)]) for t in hot) > 1
+    size = sum(len(v or b"") for r in rows.to_pylist() for v in r.values() if isinstance(v, bytes))
+    assert size < 12 * sum(map(len, tokens))
+
+
+def test_long_texts_frequent_tokens_and_copies(spark, monkeypatch):
+    """A text longer than a block, a token that is most of the corpus, copies, tokens met only at the end of texts, against dictionaries."""
+    monkeypatch.setattr(kneser_ney, "_BLOCK", 700)
+    rng = random.Random(9)
+    rows = [(i, " ".join("the" if rng.random() < 0.6 else f"w{rng.randrange(60)}" for _ in range(rng.randrange(30))) + f" end{i % 9}", "en", "s", 0) for i in range(150)]
+    rows += [(200, odd.sentence(rng, 2500, 90) + " the", "en", "s", 0), (201, "the " * 3000, "en", "s", 0), *[(300 + i, rows[0][1], "en", "s", 0) for i in range(40)]]
+    docs, labels = odd.frame(spark, rows), spark.createDataFrame([(i, 1, 0) for i in range(202)], "doc_id BIGINT, quality INT, toxic INT")
+    chosen = {r.doc_id for r in kneser_ney.trusted_half(labels, 0).collect()}
+    tokens = {i: kneser_ney._TOKEN.findall(t) for i, t, *_ in rows}
+    loss = kneser_ney_by_hand([tokens[i] for i in sorted(chosen & tokens.keys())])
+    got = kneser_ney.classify(docs, labels).collect()
+    assert len(got) == len(rows) and len({r.loss for r in got if r.doc_id >= 300}) == 1
+    for r in got:
+        assert r.n_tokens == len(tokens[r.doc_id])
+        assert r.loss == pytest.approx(loss(tokens[r.doc_id]), rel=1e-4, abs=1e-4)
+
+
 # pseudo-likelihood
 
 
